@@ -98,7 +98,12 @@ def strip_citation_markers(c: Column) -> Column:
 
 
 def _any_of(patterns) -> str:
-    return "(?iuU)(?:" + "|".join(patterns) + ")"
+    """One expression for all patterns. Those that begin at a word edge share one test of it."""
+    edge = r"\b"
+    at_edge = [p.removeprefix(edge) for p in patterns if p.startswith(edge)]
+    anywhere = [p for p in patterns if not p.startswith(edge)]
+    grouped = [f"{edge}(?:{'|'.join(at_edge)})"] if at_edge else []
+    return "(?iuU)(?:" + "|".join(grouped + anywhere) + ")"
 
 
 def first_match(c: Column, patterns) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from docwright.constants import DERIVED_PATHS, FEEDBACK_LIMIT, SECTIONS
 from docwright.functions.variants import nesting_depth, string_leaves
 from docwright.operators import rules as R
-from docwright.operators.structure import path_order, structural_findings
+from docwright.operators.structure import examine_columns, path_order
 from docwright.schema import DOCUMENT_TYPE
 
 FINDING = "struct<code:string,path:string,message:string,severity:string,source:string>"
@@ -47,20 +47,23 @@ def validate(
     read = documents.withColumns({
         "_variant": F.try_parse_json(text),
         "_typed": F.from_json(text, DOCUMENT_TYPE),
-        "_keys": F.json_object_keys(text),
+        "_keys": F.coalesce(F.json_object_keys(text), F.array().cast("array<string>")),
     })
+    read = read.withColumn("_seen", examine_columns(body, "_variant"))
     if needs_leaves:
-        read = read.withColumn("_leaves", string_leaves(variant, nesting_depth(text)))
-    keys = F.coalesce(F.col("_keys"), F.array().cast("array<string>"))
+        # Documents of the declared shape have no strings but those already read.
+        read = read.withColumn("_leaves", F.when(F.col("_seen.complete"), F.col("_seen.strings")).otherwise(
+            string_leaves(variant, nesting_depth(text))))
+    keys = F.col("_keys")
     found = [_sourced(R.rule_findings(typed, context, rules, keys), "rule")]
     if structural:
-        found.insert(0, _sourced(structural_findings(text, variant), "schema"))
+        found.insert(0, _sourced(F.col("_seen.findings"), "schema"))
     return (
         read.withColumns({
             "findings": F.concat(*found),
             "skipped_rules": R.skipped_rules(typed, rules, keys),
         })
-        .drop("_variant", "_typed", "_keys", "_leaves")
+        .drop("_variant", "_typed", "_keys", "_leaves", "_seen")
     )
 
 
@@ -73,9 +76,18 @@ def in_report_order(findings: Column) -> Column:
     return F.concat(ordered, F.filter(findings, lambda f: f["source"] != "schema"))
 
 
+def unnest(frame: DataFrame, array, *ids: str) -> DataFrame:
+    """One row (ids, item) per array entry that is not null.
+
+    A plain explode would make the optimizer test the array for emptiness below
+    every projection, and so build an expensive array a second time.
+    """
+    return frame.select(*ids, F.explode_outer(array).alias("item")).where(F.col("item").isNotNull())
+
+
 def findings_table(validated: DataFrame, *ids: str) -> DataFrame:
     """One row per finding."""
-    return validated.select(*ids, F.explode("findings").alias("f")).select(*ids, "f.*")
+    return unnest(validated, "findings", *ids).select(*ids, "item.*")
 
 
 def count_of(findings: Column, severity: str) -> Column:
@@ -121,19 +133,20 @@ def failing_sections(findings: Column) -> Column:
 
 
 def section_findings(
-    body: Column, variant: Column, typed: Column, merged_keys: Column, section: str, context: R.Context,
-    pinned: Column | None = None, rules=R.ALL_RULES,
+    body: str, variant: str, typed: Column, merged_keys: Column, section: str, context: R.Context,
+    pinned: str | None = None, is_pinned: str | None = None, rules=R.ALL_RULES,
 ) -> Column:
     """Findings of one candidate section: its strict schema, then the rules over what is known so far.
 
-    body and variant hold the candidate alone; typed is the merged document
+    body and variant name the columns of the candidate alone, pinned and is_pinned
+    those of the fixed number of taught years; typed is the merged document
     (injected fields, carried context, candidate) and merged_keys its root keys.
     """
-    structure = structural_findings(
-        body, variant, SECTIONS[section], derived=frozenset(DERIVED_PATHS.get(section, ())),
+    structure = examine_columns(
+        body, variant, SECTIONS[section], derived=DERIVED_PATHS.get(section, ()),
         pinned_years=pinned if section == "academics" else None,
-        skip_duration=pinned.isNotNull() if pinned is not None and section == "profile" else None,
-    )
+        skip_duration=is_pinned if section == "profile" else None,
+    )["findings"]
     found = F.concat(
         _sourced(structure, "schema"),
         _sourced(R.rule_findings(typed, context, rules, merged_keys), "rule"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from docwright import constants as C
 from docwright.functions import text as T
+from docwright.functions.arrays import let, repeats
 from docwright.functions.numbers import default_taught_years, half_even, is_sequence, salary_position, spread
 
 ENTRY = "struct<code:string,path:string,message:string,severity:string>"
@@ -87,13 +88,13 @@ def blank_strings(d: Column, ctx: Context) -> Column:
 
 def placeholder_text(d: Column, ctx: Context) -> Column:
     def check(s):
-        hard, soft = T.hard_placeholder(s["value"]), T.soft_placeholder(s["value"])
-        return (
+        return let(T.hard_placeholder(s["value"]), lambda hard: let(
+            T.soft_placeholder(s["value"]), lambda soft: (
             F.when(hard != "", F.array(entry("placeholder_text", s["path"], say("placeholder text found:", hard))))
             .when(soft != "", F.array(entry(
                 "possible_placeholder_text", s["path"], say("may be filler text:", soft), "warning")))
             .otherwise(none())
-        )
+        )))
     return per_item(ctx.leaves, check)
 
 
@@ -183,17 +184,16 @@ def salary_marker(d: Column, ctx: Context) -> Column:
 # -- lengths and sequences ------------------------------------------------------
 
 def overview_length(d: Column, ctx: Context) -> Column:
-    words = F.aggregate(d["overview"]["paragraphs"], F.lit(0), lambda a, p: a + F.coalesce(T.word_count(p), F.lit(0)))
+    total = F.aggregate(d["overview"]["paragraphs"], F.lit(0), lambda a, p: a + F.coalesce(T.word_count(p), F.lit(0)))
     low, high = C.OVERVIEW_WORDS
-    return when(~words.between(low, high), "overview_length", "overview.paragraphs",
-                say(words, f"words in all, {low} to {high} wanted"))
+    return let(total, lambda words: when(~words.between(low, high), "overview_length", "overview.paragraphs",
+                say(words, f"words in all, {low} to {high} wanted")))
 
 
 def intro_length(d: Column, ctx: Context) -> Column:
-    words = T.word_count(d["parent_corner"]["intro"])
     low, high = C.INTRO_WORDS
-    return when(~words.between(low, high), "parent_intro_length", "parent_corner.intro",
-                say(words, f"words, {low} to {high} wanted"))
+    return let(T.word_count(d["parent_corner"]["intro"]), lambda words: when(~words.between(low, high), "parent_intro_length", "parent_corner.intro",
+                say(words, f"words, {low} to {high} wanted")))
 
 
 def timeline_steps(d: Column, ctx: Context) -> Column:
@@ -212,16 +212,14 @@ def curriculum_years(d: Column, ctx: Context) -> Column:
             s["name"].alias("name"), folded(or_blank(s["name"])).alias("key"),
         ))))
     named = F.filter(subjects, lambda s: s["key"] != "")
-    keys = F.transform(named, lambda s: s["key"])
-    repeated = F.filter(
-        F.transform(named, lambda s, i: F.struct(s["path"].alias("path"), s["name"].alias("name"),
-                                                 (F.array_position(keys, s["key"]) <= i).alias("again"))),
-        lambda s: s["again"],
-    )
+    again = let(named, lambda all_named: let(
+        F.transform(all_named, lambda s: s["key"]),
+        lambda keys: F.filter(all_named, lambda s, i: F.array_position(keys, s["key"]) <= i),
+    ))
     return F.concat(
         when(~is_sequence(numbers), "curriculum_years_not_sequential", "curriculum.years",
              say("years do not run 1, 2, 3 ...:", F.to_json(numbers))),
-        per_item(repeated, lambda s: F.array(entry(
+        per_item(again, lambda s: F.array(entry(
             "duplicate_subject", s["path"], say("subject is listed before:", s["name"])))),
     )
 
@@ -303,17 +301,13 @@ def total_programme_fee(d: Column, ctx: Context) -> Column:
 
 # -- lists ------------------------------------------------------------------------
 
-def _repeats(keys: Column) -> Column:
-    return F.size(F.array_distinct(keys)) < F.size(keys)
-
-
 def college_ranking(d: Column, ctx: Context) -> Column:
     items, path = d["colleges"]["items"], "colleges.items"
     types = F.transform(items, lambda x: x["institution_type"])
     ranks = F.transform(items, lambda x: x["rank"])
     names = F.filter(F.transform(items, lambda x: folded(or_blank(x["name"]))), lambda n: n != "")
-    repeated = F.array_sort(F.array_distinct(F.filter(
-        names, lambda n: F.size(F.filter(names, lambda m: m == n)) > 1)))
+    repeated = let(names, lambda all_names: F.array_sort(F.array_distinct(F.filter(
+        all_names, lambda n, i: F.array_position(all_names, n) <= i))))
     ceiling = _ceiling(C.FEE_CEILING, ctx)
     missing = F.array_except(F.array(F.lit("government"), F.lit("private")), types)
     return F.when(F.size(items) > 0, F.concat(
@@ -335,7 +329,7 @@ def comparison_anchor(d: Column, ctx: Context) -> Column:
     return F.when(usable, F.concat(
         when(folded(first) != folded(name), "comparison_anchor_mismatch", "comparison[0].course_name",
              say("the first column must be", name, "but is", first)),
-        when(_repeats(keys), "comparison_duplicate_course", "comparison", "a course appears in two columns"),
+        when(repeats(keys), "comparison_duplicate_course", "comparison", "a course appears in two columns"),
     )).otherwise(none())
 
 
@@ -348,14 +342,14 @@ def career_routes(d: Column, ctx: Context) -> Column:
              "no career is open right after the degree", "warning"),
         when(F.forall(direct, lambda x: x), "careers_no_advanced_route", "careers",
              "every career is open right after the degree", "warning"),
-        when(_repeats(titles), "duplicate_career", "careers", "a career title appears twice"),
+        when(repeats(titles), "duplicate_career", "careers", "a career title appears twice"),
     )).otherwise(none())
 
 
 def recruiter_names(d: Column, ctx: Context) -> Column:
     known = F.filter(d["recruiters"], lambda x: x.isNotNull())
     names = F.transform(known, lambda x: folded(or_blank(x["name"])))
-    return when(_repeats(names), "duplicate_recruiter", "recruiters", "an organisation appears twice")
+    return when(repeats(names), "duplicate_recruiter", "recruiters", "an organisation appears twice")
 
 
 # -- sources and heading ------------------------------------------------------------

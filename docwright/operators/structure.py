@@ -7,9 +7,12 @@ all. Unknown keys are looked for only in documents whose number of keys differs
 from the number of known members found. No shuffle, no Python, no join.
 """
 
-from pyspark.sql import Column
+from functools import lru_cache
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from docwright.functions.arrays import let
 from docwright.functions.variants import as_array, as_object, key_count, type_of
 from docwright.schema import DOCUMENT, Flag, Items, Members, Number, Text
 
@@ -301,7 +304,7 @@ def _check(n: Column) -> Column:
     )
 
 
-def structural_findings(
+def examine(
     body: Column,
     document: Column,
     properties=None,
@@ -310,12 +313,15 @@ def structural_findings(
     pinned_years: Column | None = None,
     skip_duration: Column | None = None,
 ) -> Column:
-    """array<struct<code, path, message>> of one document.
+    """struct<findings, strings, complete> of one document.
 
     body is the JSON text and document the VARIANT read from it. properties
     keeps only some root properties (a section); derived paths are then neither
     required nor allowed. pinned_years fixes the number of curriculum years per
     row; skip_duration takes the typical duration out of the schema per row.
+
+    findings is array<struct<code, path, message>>. strings is the texts at the
+    paths the schema names; complete tells that the document has no others.
     """
     root = DOCUMENT if properties is None else Members({p: DOCUMENT.members[p] for p in properties})
     omit = frozenset(derived)
@@ -341,15 +347,46 @@ def structural_findings(
         for count in compiler.counts[1:]:
             known = known + count
         unknown = [u for u in compiler.unknown if u is not None]
-        return F.concat(
-            _when(shaped.isNull(), "type", F.lit(""), "value is not of type object"),
-            *compiler.findings,
-            F.when(key_count(body) != known, F.concat(*unknown)).otherwise(no_findings()),
-            F.flatten(F.transform(F.filter(read, lambda n: ~_fine(n)), _check)),
-        )
 
-    # One entry, so that the shaped document is read once and then only referred to.
-    return F.flatten(F.transform(F.array(value), of))
+        def judge(nodes, counted):
+            found = F.concat(
+                _when(shaped.isNull(), "type", F.lit(""), "value is not of type object"),
+                *compiler.findings,
+                F.when(counted, no_findings()).otherwise(F.concat(*unknown)),
+                F.flatten(F.transform(F.filter(nodes, lambda n: ~_fine(n)), _check)),
+            )
+            strings = F.transform(
+                F.filter(nodes, lambda n: n["text"].isNotNull()),
+                lambda n: F.struct(n["path"].alias("path"), n["text"].alias("value")),
+            )
+            return let(found, lambda f: F.struct(
+                f.alias("findings"), strings.alias("strings"),
+                (counted & ~F.exists(f, lambda x: x["code"] == "type")).alias("complete"),
+            ))
+
+        return let(read, lambda nodes: let(key_count(body) == known, lambda counted: judge(nodes, counted)))
+
+    return let(value, of)
+
+
+@lru_cache(maxsize=64)
+def _examine_columns(session, body: str, document: str, properties, section_options) -> Column:
+    derived, pinned, skip = section_options
+    return examine(
+        F.col(body), F.col(document), properties, derived=derived,
+        pinned_years=F.col(pinned) if pinned else None,
+        skip_duration=F.col(skip) if skip else None,
+    )
+
+
+def examine_columns(
+    body: str, document: str, properties=None, *, derived=frozenset(), pinned_years: str | None = None,
+    skip_duration: str | None = None,
+) -> Column:
+    """examine over columns given by name; the expression is built once per session."""
+    options = (frozenset(derived), pinned_years, skip_duration)
+    properties = tuple(properties) if properties is not None else None
+    return _examine_columns(SparkSession.active(), body, document, properties, options)
 
 
 def path_order(path: Column) -> Column:
