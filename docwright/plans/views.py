@@ -101,8 +101,12 @@ def document_base(spark: SparkSession, sf: str, properties=ALL_PROPERTIES) -> Da
     """One row per order with lines; joins only what the properties need."""
     wanted = set(properties)
     item = F.struct("slot", "sk", "pk", "fee", "lo", "hi", "flag", "st", "p_name", "p_type", "p_brand", "s_name")
+    # The exchange the grouping needs anyway, with a number of partitions that is kept:
+    # building a document costs far more than its bytes tell adaptive coalescing.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     grouped = (
         named_lines(spark, sf)
+        .repartition(parts, "k")
         .groupBy("k")
         .agg(F.array_sort(F.collect_list(item)).alias("it"))
     )
