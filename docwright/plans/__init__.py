@@ -1,6 +1,6 @@
 """Registered queries over the given tables."""
 
-from docwright.plans import document_queries  # noqa: F401
+from docwright.plans import catalogue_queries, document_queries, report_queries  # noqa: F401
 from docwright.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
