@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docwright.constants import MAX_ATTEMPTS, MAX_REPAIR_ROUNDS, RETRYABLE_STATUS, SECTIONS
+from docwright.functions.arrays import unnest
 from docwright.functions.variants import nesting_depth, number_leaves
 
 KEY = ("course_id", "section")
@@ -71,8 +72,9 @@ def course_status(reduced: DataFrame, reports: DataFrame) -> DataFrame:
 
 def repairs(failing: DataFrame, round_number: int, max_rounds: int = MAX_REPAIR_ROUNDS) -> DataFrame:
     """Sections to make again after a failed document check; none once the rounds are used up."""
-    rows = failing.select("course_id", F.explode("sections").alias("section"), F.lit(round_number + 1).alias("round"))
-    return rows.where(F.lit(round_number < max_rounds))
+    rows = unnest(failing, "sections", "course_id").select(
+        "course_id", F.col("item").alias("section"), F.lit(round_number + 1).alias("round"))
+    return rows if round_number < max_rounds else rows.limit(0)
 
 
 def merge_rounds(rounds: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docwright.constants import DERIVED_PATHS, FEEDBACK_LIMIT, SECTIONS
+from docwright.functions.arrays import unnest
 from docwright.functions.variants import nesting_depth, string_leaves
 from docwright.operators import rules as R
 from docwright.operators.structure import examine_columns, path_order
@@ -49,7 +50,8 @@ def validate(
         "_typed": F.from_json(text, DOCUMENT_TYPE),
         "_keys": F.coalesce(F.json_object_keys(text), F.array().cast("array<string>")),
     })
-    read = read.withColumn("_seen", examine_columns(body, "_variant"))
+    if structural or needs_leaves:
+        read = read.withColumn("_seen", examine_columns(body, "_variant"))
     if needs_leaves:
         # Documents of the declared shape have no strings but those already read.
         read = read.withColumn("_leaves", F.when(F.col("_seen.complete"), F.col("_seen.strings")).otherwise(
@@ -76,15 +78,6 @@ def in_report_order(findings: Column) -> Column:
     return F.concat(ordered, F.filter(findings, lambda f: f["source"] != "schema"))
 
 
-def unnest(frame: DataFrame, array, *ids: str) -> DataFrame:
-    """One row (ids, item) per array entry that is not null.
-
-    A plain explode would make the optimizer test the array for emptiness below
-    every projection, and so build an expensive array a second time.
-    """
-    return frame.select(*ids, F.explode_outer(array).alias("item")).where(F.col("item").isNotNull())
-
-
 def findings_table(validated: DataFrame, *ids: str) -> DataFrame:
     """One row per finding."""
     return unnest(validated, "findings", *ids).select(*ids, "item.*")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from docwright.functions import text as T
-from docwright.functions.arrays import let
+from docwright.functions.arrays import unnest
 from docwright.functions.variants import nesting_depth, string_leaves
 from docwright.operators import report as P
 from docwright.operators import rules as R
@@ -144,7 +144,7 @@ def text_hygiene_findings(spark, sf):
 def string_leaves_query(spark, sf):
     docs = V.json_documents(spark, sf, ("course_name", "currency", "colleges"))
     read = docs.select("k", string_leaves(F.try_parse_json("body"), nesting_depth(F.col("body"))).alias("leaves"))
-    return P.unnest(read, "leaves", "k").select("k", "item.path", "item.value")
+    return unnest(read, "leaves", "k").select("k", "item.path", "item.value")
 
 
 @query("path_presence", Q.with_("dd", """

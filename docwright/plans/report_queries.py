@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from docwright.constants import SECTIONS
+from docwright.functions.arrays import unnest
 from docwright.functions.variants import nesting_depth, string_leaves
 from docwright.operators import report as P
 from docwright.operators import rules as R
@@ -66,7 +67,7 @@ def rule_skips(spark, sf):
     docs = V.json_documents(spark, sf)
     skipped = R.skipped_rules(F.col("d"), present=F.col("keys"))
     read = docs.select("course_id", F.from_json("body", DOCUMENT_TYPE).alias("d"), F.json_object_keys("body").alias("keys"))
-    return P.unnest(read.select("course_id", skipped.alias("skipped")), "skipped", "course_id").select(
+    return unnest(read.select("course_id", skipped.alias("skipped")), "skipped", "course_id").select(
         "course_id", F.col("item").alias("rule"))
 
 
@@ -93,7 +94,7 @@ def rule_subset_report(spark, sf):
 def failing_sections(spark, sf):
     rows = validated(spark, sf).select("course_id", P.failing_sections(F.col("findings")).alias("sections"))
     rank = F.array_position(F.array(*[F.lit(s) for s in SECTIONS]), F.col("item")) - 1
-    return P.unnest(rows, "sections", "course_id").select(
+    return unnest(rows, "sections", "course_id").select(
         "course_id", F.col("item").alias("section"), rank.cast("int").alias("section_rank"))
 
 
