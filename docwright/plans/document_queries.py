@@ -167,8 +167,8 @@ def path_presence(spark, sf):
 # -- structure ------------------------------------------------------------------------------
 
 def _structure(spark, sf, *codes):
-    docs = V.json_documents(spark, sf).withColumn("v", F.try_parse_json("body"))
-    found = docs.select("k", "course_id", examine_columns("body", "v")["findings"].alias("findings"))
+    docs = V.json_documents(spark, sf).withColumn("_variant", F.try_parse_json("body"))
+    found = docs.select("k", "course_id", examine_columns("body", "_variant")["findings"].alias("findings"))
     rows = P.findings_table(found, "k", "course_id").select("k", "course_id", "code", "path")
     return rows.where(F.col("code").isin(*codes)) if codes else rows
 
