@@ -5,15 +5,14 @@ stay VARIANT, so a wrong type, a JSON null and an absent member stay distinct.
 Every scalar becomes a node in one row-local array and one lambda checks them
 all. Unknown keys are looked for only in documents whose number of keys differs
 from the number of known members found. No shuffle, no Python, no join.
-"""
 
-from functools import lru_cache
+The expression is put together as one SQL text, since it has thousands of parts
+and is then handed to Spark in a single call.
+"""
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docwright.functions.arrays import let
-from docwright.functions.variants import as_array, as_object, key_count, type_of
 from docwright.schema import DOCUMENT, Flag, Items, Members, Number, Text
 
 TYPICAL_DURATION = "quick_facts.typical_duration"
@@ -21,27 +20,37 @@ PINNED_YEARS = "curriculum.years"
 PINNED_YEAR = "curriculum.years[].year"
 FINDING = "struct<code:string,path:string,message:string>"
 _NODE = "struct<path:string,spec:int,v:variant,low:double,high:double>"
+_NO_FINDINGS = f"cast(array() AS array<{FINDING}>)"
+_NO_NODES = f"cast(array() AS array<{_NODE}>)"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
+def _texts(values) -> str:
+    return f"cast(array({', '.join(_text(v) for v in values)}) AS array<string>)"
 
-def no_findings() -> Column:
-    return F.array().cast(f"array<{FINDING}>")
 
+def _finding(code: str, path: str, message: str) -> str:
+    return f"named_struct('code', '{code}', 'path', {path}, 'message', {message})"
 
-def _finding(code: str, path: Column, message: Column | str) -> Column:
-    text = message if isinstance(message, Column) else F.lit(message)
-    return F.struct(F.lit(code).alias("code"), path.alias("path"), text.alias("message"))
 
+def _when(condition: str, code: str, path: str, message: str) -> str:
+    return f"IF({condition}, array({_finding(code, path, message)}), {_NO_FINDINGS})"
 
-def _when(condition: Column, code: str, path: Column, message: Column | str) -> Column:
-    return F.when(condition, F.array(_finding(code, path, message))).otherwise(no_findings())
 
+def _concat(parts, empty: str) -> str:
+    parts = [p for p in parts if p is not None]
+    return f"concat({', '.join(parts)})" if parts else empty
 
-def _words(*parts) -> Column:
-    return F.concat_ws(" ", *[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
+def _as_object(v: str) -> str:
+    return f"try_variant_get({v}, '$', 'map<string,variant>')"
 
-def _whole_text(c: Column) -> Column:
-    return c.cast("bigint").cast("string")
+
+def _member_list(v: str, path: str) -> str:
+    return f"try_variant_get({v}, '$.{path}', 'array<variant>')"
 
 
 def _shape(spec, in_list: bool, omit: frozenset, at: str) -> str:
@@ -59,18 +68,23 @@ def _shape(spec, in_list: bool, omit: frozenset, at: str) -> str:
 
 
 class _Compiler:
-    """Collects the expressions of one document shape."""
+    """Collects the SQL of one document shape. document, pinned and skip name columns."""
 
-    def __init__(self, pinned: Column | None, skip: Column | None, omit: frozenset):
-        self.pinned, self.skip, self.omit = pinned, skip, omit
+    def __init__(self, document: str, pinned: str | None, skip: str | None, omit: frozenset):
+        self.document, self.pinned, self.skip, self.omit = document, pinned, skip, omit
+        self.names = 0
         self.specs = []       # what scalar nodes point into
-        self.nodes = []       # array columns of scalar nodes
-        self.findings = []    # array columns of findings about containers
-        self.counts = []      # int columns: known members found
-        self.unknown = []     # array columns of findings about unknown keys
+        self.nodes = []       # arrays of scalar nodes
+        self.findings = []    # arrays of findings about containers
+        self.counts = []      # numbers of known members found
+        self.unknown = []     # arrays of findings about unknown keys
 
     # -- helpers --
 
+    def fresh(self) -> tuple[str, str]:
+        self.names += 1
+        return f"x{self.names}", f"i{self.names}"
+
     def spec_number(self, spec) -> int:
         key = (
             type(spec).__name__, getattr(spec, "nullable", False),
@@ -80,15 +94,14 @@ class _Compiler:
             self.specs.append(key)
         return self.specs.index(key) + 1
 
-    def table(self) -> Column:
-        return F.array(*[
-            F.struct(
-                F.lit(kind).alias("kind"), F.lit(nullable).alias("nullable"),
-                F.lit(pattern).cast("string").alias("pattern"),
-                (F.array(*[F.lit(x) for x in values]) if values else F.lit(None).cast("array<string>")).alias("values"),
-            )
+    def table(self) -> str:
+        rows = [
+            f"named_struct('kind', '{kind}', 'nullable', {str(nullable).lower()}, "
+            f"'pattern', {_text(pattern) if pattern else 'cast(NULL AS string)'}, "
+            f"'values', {_texts(values) if values else 'cast(NULL AS array<string>)'})"
             for kind, nullable, pattern, values in self.specs
-        ])
+        ]
+        return f"array({', '.join(rows)})"
 
     def members(self, spec, shape):
         for name, child in spec.members.items():
@@ -96,224 +109,182 @@ class _Compiler:
             if inside not in self.omit:
                 yield name, child, inside, name in spec.optional
 
-    def scalar(self, spec, v, path, shape) -> Column:
-        low, high = getattr(spec, "low", None), getattr(spec, "high", None)
-        if shape == PINNED_YEAR and self.pinned is not None:
-            high = F.coalesce(self.pinned, F.lit(high))
-        return F.struct(
-            path.alias("path"), F.lit(self.spec_number(spec)).alias("spec"), v.alias("v"),
-            F.lit(low).cast("double").alias("low"), F.lit(high).cast("double").alias("high"),
-        )
-
-    def list_limits(self, spec, items, texts, path, shape) -> Column:
-        low, high = F.lit(spec.low), F.lit(spec.high)
-        if shape == PINNED_YEARS and self.pinned is not None:
-            low, high = F.coalesce(self.pinned, low), F.coalesce(self.pinned, high)
-        size = F.size(items)
+    def scalar(self, spec, v: str, path: str, shape: str) -> str:
+        number = lambda n: "cast(NULL AS double)" if n is None else f"cast({n} AS double)"
+        low, high = number(getattr(spec, "low", None)), number(getattr(spec, "high", None))
+        if shape == PINNED_YEAR and self.pinned:
+            high = f"coalesce(cast({self.pinned} AS double), {high})"
+        return f"named_struct('path', {path}, 'spec', {self.spec_number(spec)}, 'v', {v}, 'low', {low}, 'high', {high})"
+
+    def list_limits(self, spec, items: str, path: str, shape: str) -> list[str]:
+        low, high = str(spec.low), str(spec.high)
+        if shape == PINNED_YEARS and self.pinned:
+            low, high = f"coalesce({self.pinned}, {low})", f"coalesce({self.pinned}, {high})"
+        size = f"size({items})"
+        say = lambda bound, limit, end: f"concat_ws(' ', 'list has', {size}, 'entries, at {bound}', {limit}, '{end}')"
         parts = [
-            _when(items.isNotNull() & (size < low), "minItems", path,
-                  _words("list has", size.cast("string"), "entries, at least", low.cast("string"), "needed")),
-            _when(items.isNotNull() & (size > high), "maxItems", path,
-                  _words("list has", size.cast("string"), "entries, at most", high.cast("string"), "allowed")),
+            _when(f"{items} IS NOT NULL AND {size} < {low}", "minItems", path, say("least", low, "needed")),
+            _when(f"{items} IS NOT NULL AND {size} > {high}", "maxItems", path, say("most", high, "allowed")),
         ]
         if spec.unique:
-            parts.append(_when(
-                items.isNotNull() & (F.size(F.array_distinct(F.transform(texts, lambda x: F.to_json(x)))) < size),
-                "uniqueItems", path, "list repeats an entry",
-            ))
-        return F.concat(*parts)
+            x, _ = self.fresh()
+            distinct = f"size(array_distinct(transform({items}, {x} -> to_json({x}))))"
+            parts.append(_when(f"{items} IS NOT NULL AND {distinct} < {size}", "uniqueItems", path, "'list repeats an entry'"))
+        return parts
 
     # -- values reached without passing through a list --
 
-    def compile(self, spec, value: Column, document: Column, shape: str):
+    def compile(self, spec, value: str, shape: str):
         if isinstance(spec, Members):
-            self.compile_members(spec, value, document, shape)
+            self.compile_members(spec, value, shape)
         elif isinstance(spec, Items):
-            self.compile_items(spec, value, shape)
+            self.findings += self.list_limits(spec, value, _text(shape), shape)
+            self.nodes.append(self.entry_nodes(spec, value, _text(shape), shape))
+            if isinstance(spec.item, Members):
+                self.findings.append(self.entry_findings(spec, value, _text(shape), shape))
+                self.counts.append(self.entry_count(spec, value, shape))
+                self.unknown.append(self.entry_unknown(spec, _member_list(self.document, shape), _text(shape), shape))
         else:
-            self.nodes.append(F.array(self.scalar(spec, value, F.lit(shape), shape)))
+            self.nodes.append(f"array({self.scalar(spec, value, _text(shape), shape)})")
 
-    def compile_members(self, spec, value, document, shape):
-        path = F.lit(shape)
-        here = document if not shape else F.try_variant_get(document, f"$.{shape}", "variant")
-        names = []
+    def compile_members(self, spec, value: str, shape: str):
+        path, known = _text(shape), []
         for name, child, inside, optional in self.members(spec, shape):
-            member = value[name]
+            member, gone = f"{value}.`{name}`", f"{value} IS NOT NULL AND {value}.`{name}` IS NULL"
             skipped = self.skip if inside == TYPICAL_DURATION else None
-            if skipped is not None:
-                member = F.when(~skipped, member)
-            names.append((name, skipped))
-            container = isinstance(child, (Members, Items))
-            gone = value.isNotNull() & member.isNull()
-            if skipped is not None:
-                gone = gone & ~skipped
-            if container:
-                raw = F.try_variant_get(document, f"$.{inside}", "variant")
+            if skipped:
+                gone = f"NOT {skipped} AND {gone}"
+                known.append(f"IF({skipped}, array(), array('{name}'))")
+                member = f"IF({skipped}, NULL, {member})"
+            else:
+                known.append(f"array('{name}')")
+            missing = f"array({_finding('required', path, _text(name + ' is missing'))})"
+            if isinstance(child, (Members, Items)):
                 kind = "object" if isinstance(child, Members) else "array"
-                self.findings.append(F.when(gone, F.when(
-                    raw.isNull(), F.array(_finding("required", path, f"{name} is missing"))
-                ).otherwise(
-                    F.array(_finding("type", F.lit(inside), f"value is not of type {kind}"))
-                )).otherwise(no_findings()))
+                wrong = f"array({_finding('type', _text(inside), _text('value is not of type ' + kind))})"
+                raw = f"try_variant_get({self.document}, '$.{inside}', 'variant')"
+                self.findings.append(f"IF({gone}, IF({raw} IS NULL, {missing}, {wrong}), {_NO_FINDINGS})")
             elif not optional:
-                self.findings.append(_when(gone, "required", path, f"{name} is missing"))
-            self.counts.append(member.isNotNull().cast("int"))
-            self.compile(child, member, document, inside)
-        self.unknown.append(self.unknown_keys(F.map_keys(as_object(here)), names, path))
-
-    def unknown_keys(self, keys, names, path) -> Column:
-        known = F.array(*[F.lit(n) for n, skipped in names if skipped is None])
-        for name, skipped in names:
-            if skipped is not None:
-                known = F.when(skipped, known).otherwise(F.array_append(known, F.lit(name)))
-        return _when(
-            keys.isNotNull() & (F.size(F.array_except(keys, known)) > 0),
-            "additionalProperties", path, "object has keys that are not allowed",
-        )
+                self.findings.append(f"IF({gone}, {missing}, {_NO_FINDINGS})")
+            self.counts.append(f"IF({member} IS NULL, 0, 1)")
+            self.compile(child, member, inside)
+        here = self.document if not shape else f"try_variant_get({self.document}, '$.{shape}', 'variant')"
+        self.unknown.append(self.unknown_keys(f"map_keys({_as_object(here)})", f"concat({', '.join(known)})", path))
 
-    def compile_items(self, spec, items, shape):
-        self.findings.append(self.list_limits(spec, items, items, F.lit(shape), shape))
-        nodes, findings, counts, unknown = self.entries(spec, items, F.lit(shape), shape)
-        self.nodes.append(nodes)
-        if findings is not None:
-            self.findings.append(findings)
-            self.counts.append(counts)
-            self.unknown.append(unknown)
+    def unknown_keys(self, keys: str, known: str, path: str) -> str:
+        extra = f"{keys} IS NOT NULL AND size(array_except({keys}, {known})) > 0"
+        return _when(extra, "additionalProperties", path, "'object has keys that are not allowed'")
 
     # -- list entries, at paths that carry an index --
 
-    def entries(self, spec, items, path, shape):
-        at = lambda i: F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
-        inside = f"{shape}[]"
-        every = lambda fn, typed: F.coalesce(F.flatten(F.transform(items, fn)), F.array().cast(f"array<{typed}>"))
-        if not isinstance(spec.item, Members):
-            nodes = F.transform(items, lambda x, i: self.scalar(spec.item, x, at(i), inside))
-            return F.coalesce(nodes, F.array().cast(f"array<{_NODE}>")), None, None, None
-
-        members = list(self.members(spec.item, inside))
-        lists = [(n, c, s) for n, c, s, _ in members if isinstance(c, Items)]
-
-        def below(x, i, which):
-            """Same part (0 nodes, 1 findings, 2 counts, 3 unknown) of the lists inside an entry."""
-            parts = []
-            for name, child, s in lists:
-                inner = F.try_variant_get(x[name], "$", _shape(child, True, self.omit, s))
-                where = F.concat(at(i), F.lit(f".{name}"))
-                if which == 1:
-                    wrong = x[name].isNotNull() & inner.isNull()
-                    parts.append(_when(wrong, "type", where, "value is not of type array"))
-                    parts.append(self.list_limits(child, inner, inner, where, s))
-                part = self.entries(child, inner, where, s)[which]
-                if part is not None:
-                    parts.append(part)
-            return parts
-
-        def nodes(x, i):
-            own = F.array(*[
-                self.scalar(c, x[n], F.concat(at(i), F.lit(f".{n}")), s)
-                for n, c, s, _ in members if not isinstance(c, Items)
-            ])
-            return F.concat(own, *below(x, i, 0))
-
-        def findings(x, i):
-            missing = [
-                _when(x.isNotNull() & x[n].isNull(), "required", at(i), f"{n} is missing")
-                for n, _, _, optional in members if not optional
-            ]
-            return F.concat(_when(x.isNull(), "type", at(i), "value is not of type object"), *missing, *below(x, i, 1))
-
-        def count(x, i):
-            found = F.lit(0)
-            for n, _, _, _ in members:
-                found = found + x[n].isNotNull().cast("int")
-            for part in below(x, i, 2):
-                found = found + part
-            return found
-
-        return (
-            every(nodes, _NODE),
-            every(findings, FINDING),
-            F.coalesce(F.aggregate(F.transform(items, count), F.lit(0), lambda a, b: a + b), F.lit(0)),
-            None if "[]" in shape else self.unknown_in(spec, self.raw_list(F.lit(f"$.{shape}"), self.document), path, shape),
-        )
+    def at(self, path: str, i: str, name: str = "") -> str:
+        return f"concat({path}, '[', {i}, ']{'.' + name if name else ''}')"
 
-    @staticmethod
-    def raw_list(at: Column, v: Column) -> Column:
-        return as_array(F.try_variant_get(v, at, "variant"))
+    def inner_lists(self, spec, x: str, path: str, i: str, shape: str):
+        """Lists among the members of an entry: (spec, items, raw member, path, shape)."""
+        for name, child, s, _ in self.members(spec.item, f"{shape}[]"):
+            if isinstance(child, Items):
+                items = f"try_variant_get({x}.`{name}`, '$', '{_shape(child, True, self.omit, s)}')"
+                yield child, items, f"{x}.`{name}`", self.at(path, i, name), s
 
-    def unknown_in(self, spec, raw_items, path, shape) -> Column:
-        """Findings about unknown keys of the entries of a list of objects."""
+    def entry_nodes(self, spec, items: str, path: str, shape: str) -> str:
+        x, i = self.fresh()
+        if not isinstance(spec.item, Members):
+            node = self.scalar(spec.item, x, self.at(path, i), f"{shape}[]")
+            return f"coalesce(transform({items}, ({x}, {i}) -> {node}), {_NO_NODES})"
+        own = [
+            self.scalar(c, f"{x}.`{n}`", self.at(path, i, n), s)
+            for n, c, s, _ in self.members(spec.item, f"{shape}[]") if not isinstance(c, Items)
+        ]
+        inner = [self.entry_nodes(c, inside, p, s) for c, inside, _, p, s in self.inner_lists(spec, x, path, i, shape)]
+        every = _concat([f"array({', '.join(own)})", *inner], _NO_NODES)
+        return f"coalesce(flatten(transform({items}, ({x}, {i}) -> {every})), {_NO_NODES})"
+
+    def entry_findings(self, spec, items: str, path: str, shape: str) -> str:
+        x, i = self.fresh()
+        here = self.at(path, i)
+        parts = [_when(f"{x} IS NULL", "type", here, "'value is not of type object'")]
+        for name, _, _, optional in self.members(spec.item, f"{shape}[]"):
+            if not optional:
+                parts.append(_when(f"{x} IS NOT NULL AND {x}.`{name}` IS NULL", "required", here, _text(name + " is missing")))
+        for child, inside, raw, p, s in self.inner_lists(spec, x, path, i, shape):
+            parts.append(_when(f"{raw} IS NOT NULL AND {inside} IS NULL", "type", p, "'value is not of type array'"))
+            parts += self.list_limits(child, inside, p, s)
+            if isinstance(child.item, Members):
+                parts.append(self.entry_findings(child, inside, p, s))
+        return f"coalesce(flatten(transform({items}, ({x}, {i}) -> {_concat(parts, _NO_FINDINGS)})), {_NO_FINDINGS})"
+
+    def entry_count(self, spec, items: str, shape: str) -> str:
+        x, i = self.fresh()
+        a, b = self.fresh()
+        found = [f"IF({x}.`{n}` IS NULL, 0, 1)" for n, _, _, _ in self.members(spec.item, f"{shape}[]")]
+        found += [
+            self.entry_count(child, inside, s)
+            for child, inside, _, _, s in self.inner_lists(spec, x, "''", "0", shape) if isinstance(child.item, Members)
+        ]
+        return f"coalesce(aggregate(transform({items}, {x} -> {' + '.join(found)}), 0, ({a}, {b}) -> {a} + {b}), 0)"
+
+    def entry_unknown(self, spec, raw_items: str, path: str, shape: str) -> str:
+        x, i = self.fresh()
         members = list(self.members(spec.item, f"{shape}[]"))
+        parts = [self.unknown_keys(f"map_keys({_as_object(x)})", _texts(n for n, _, _, _ in members), self.at(path, i))]
+        parts += [
+            self.entry_unknown(c, _member_list(x, n), self.at(path, i, n), s)
+            for n, c, s, _ in members if isinstance(c, Items) and isinstance(c.item, Members)
+        ]
+        return f"coalesce(flatten(transform({raw_items}, ({x}, {i}) -> {_concat(parts, _NO_FINDINGS)})), {_NO_FINDINGS})"
 
-        def unknown(raw, i):
-            at = F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
-            own = self.unknown_keys(F.map_keys(as_object(raw)), [(n, None) for n, _, _, _ in members], at)
-            inner = [
-                self.unknown_in(child, self.raw_list(F.lit(f"$.{n}"), raw), F.concat(at, F.lit(f".{n}")), s)
-                for n, child, s, _ in members
-                if isinstance(child, Items) and isinstance(child.item, Members)
-            ]
-            return F.concat(own, *inner)
-
-        return F.coalesce(F.flatten(F.transform(raw_items, unknown)), no_findings())
-
-
-def _fine(n: Column) -> Column:
-    """Cheap test that lets the usual case, a node without findings, skip _check."""
-    b, text, num = n["b"], n["text"], n["num"]
-    length = F.char_length(text)
-    return F.coalesce(
-        F.when(
-            b["kind"] == Text.__name__,
-            F.coalesce((length >= n["low"]) & (length <= n["high"]), text.isNotNull() & n["low"].isNull())
-            & (b["pattern"].isNull() | F.rlike(text, b["pattern"]))
-            & (b["values"].isNull() | F.array_contains(b["values"], text)),
-        ).otherwise((b["kind"] != Flag.__name__) & (num == F.floor(num)) & (num >= n["low"]) & (num <= n["high"])),
-        F.lit(False),
-    )
-
-
-def _check(n: Column) -> Column:
-    """Findings of one scalar node: n has path, low, high, b (bounds), t (type), text and num."""
-    b, t, text, num, path = n["b"], n["t"], n["text"], n["num"], n["path"]
-    kind, null = b["kind"], t == "VOID"
-    right = (
-        F.when(null, b["nullable"])
-        .when(kind == Text.__name__, text.isNotNull())
-        .when(kind == Flag.__name__, t == "BOOLEAN")
-        .when(kind == Number.__name__, num.isNotNull())
-        .otherwise(num.isNotNull() & (num == F.floor(num)))
-    )
-    name = (
-        F.when(kind == Text.__name__, "string").when(kind == Flag.__name__, "boolean")
-        .when(kind == Number.__name__, "number").otherwise("integer")
-    )
-    length = F.char_length(text)
-    in_values = F.coalesce(F.array_contains(b["values"], text), null & b["nullable"])
-    return F.concat(
-        _when(~right, "type", path, _words("value is not of type", name)),
-        _when(b["values"].isNotNull() & ~in_values, "enum", path, "value is not one of the allowed choices"),
-        _when(length < n["low"], "minLength", path,
-              _words("text has", length.cast("string"), "characters, at least", _whole_text(n["low"]), "needed")),
-        _when(length > n["high"], "maxLength", path,
-              _words("text has", length.cast("string"), "characters, at most", _whole_text(n["high"]), "allowed")),
-        _when(b["pattern"].isNotNull() & text.isNotNull() & ~F.rlike(text, b["pattern"]), "pattern", path,
-              "text does not have the required form"),
-        _when(num < n["low"], "minimum", path, "value is below the least allowed"),
-        _when(num > n["high"], "maximum", path, "value is above the largest allowed"),
-    )
-
-
-def examine(
-    body: Column,
-    document: Column,
+
+# Cheap test that lets the usual case, a scalar node n without findings, skip the checks below.
+_FINE = f"""coalesce(
+  IF(n.b.kind = '{Text.__name__}',
+     coalesce(char_length(n.text) >= n.low AND char_length(n.text) <= n.high, n.text IS NOT NULL AND n.low IS NULL)
+       AND (n.b.pattern IS NULL OR rlike(n.text, n.b.pattern))
+       AND (n.b.values IS NULL OR array_contains(n.b.values, n.text)),
+     n.b.kind <> '{Flag.__name__}' AND n.num = floor(n.num) AND n.num >= n.low AND n.num <= n.high),
+  false)"""
+
+_RIGHT_TYPE = f"""CASE WHEN n.t = 'VOID' THEN n.b.nullable
+  WHEN n.b.kind = '{Text.__name__}' THEN n.text IS NOT NULL
+  WHEN n.b.kind = '{Flag.__name__}' THEN n.t = 'BOOLEAN'
+  WHEN n.b.kind = '{Number.__name__}' THEN n.num IS NOT NULL
+  ELSE n.num IS NOT NULL AND n.num = floor(n.num) END"""
+_TYPE_NAME = f"""CASE n.b.kind WHEN '{Text.__name__}' THEN 'string' WHEN '{Flag.__name__}' THEN 'boolean'
+  WHEN '{Number.__name__}' THEN 'number' ELSE 'integer' END"""
+_ALLOWED = "coalesce(array_contains(n.b.values, n.text), n.t = 'VOID' AND n.b.nullable)"
+
+
+def _length_message(bound: str, limit: str, end: str) -> str:
+    return f"concat_ws(' ', 'text has', char_length(n.text), 'characters, at {bound}', cast({limit} AS bigint), '{end}')"
+
+
+_CHECKS = _concat([
+    _when(f"NOT ({_RIGHT_TYPE})", "type", "n.path", f"concat('value is not of type ', {_TYPE_NAME})"),
+    _when(f"n.b.values IS NOT NULL AND NOT {_ALLOWED}", "enum", "n.path", "'value is not one of the allowed choices'"),
+    _when("char_length(n.text) < n.low", "minLength", "n.path", _length_message("least", "n.low", "needed")),
+    _when("char_length(n.text) > n.high", "maxLength", "n.path", _length_message("most", "n.high", "allowed")),
+    _when("n.b.pattern IS NOT NULL AND n.text IS NOT NULL AND NOT rlike(n.text, n.b.pattern)", "pattern", "n.path",
+          "'text does not have the required form'"),
+    _when("n.num < n.low", "minimum", "n.path", "'value is below the least allowed'"),
+    _when("n.num > n.high", "maximum", "n.path", "'value is above the largest allowed'"),
+], _NO_FINDINGS)
+
+_NUMBER = "(t.t IN ('BIGINT', 'DOUBLE', 'FLOAT') OR startswith(t.t, 'DECIMAL'))"
+
+# Names of members in a JSON text: the colons that stand outside of strings.
+_KEY_COUNT = r"""char_length(regexp_replace(regexp_replace({body}, r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"', ''), '[^:]', ''))"""
+
+
+def examine_columns(
+    body: str,
+    document: str,
     properties=None,
     *,
     derived=frozenset(),
-    pinned_years: Column | None = None,
-    skip_duration: Column | None = None,
+    pinned_years: str | None = None,
+    skip_duration: str | None = None,
 ) -> Column:
-    """struct<findings, strings, complete> of one document.
+    """struct<findings, strings, complete> of one document; all inputs are column names.
 
     body is the JSON text and document the VARIANT read from it. properties
     keeps only some root properties (a section); derived paths are then neither
@@ -325,68 +296,28 @@ def examine(
     """
     root = DOCUMENT if properties is None else Members({p: DOCUMENT.members[p] for p in properties})
     omit = frozenset(derived)
-    compiler = _Compiler(pinned_years, skip_duration, omit)
-    compiler.document = document
-    value = F.try_variant_get(document, "$", _shape(root, False, omit, ""))
-
-    def of(shaped):
-        compiler.compile_members(root, shaped, document, "")
-        table = compiler.table()
-        present = F.filter(F.concat(*compiler.nodes), lambda n: n["v"].isNotNull())
-        typed = F.transform(present, lambda n: F.struct(
-            n["path"].alias("path"), n["low"].alias("low"), n["high"].alias("high"), n["v"].alias("v"),
-            F.element_at(table, n["spec"]).alias("b"), type_of(n["v"]).alias("t"),
-        ))
-        number = lambda n: n["t"].isin("BIGINT", "DOUBLE", "FLOAT") | n["t"].startswith("DECIMAL")
-        read = F.transform(typed, lambda n: F.struct(
-            n["path"].alias("path"), n["low"].alias("low"), n["high"].alias("high"), n["b"].alias("b"), n["t"].alias("t"),
-            F.when(n["t"] == "STRING", F.try_variant_get(n["v"], "$", "string")).alias("text"),
-            F.when(number(n), F.try_variant_get(n["v"], "$", "double")).alias("num"),
-        ))
-        known = compiler.counts[0]
-        for count in compiler.counts[1:]:
-            known = known + count
-        unknown = [u for u in compiler.unknown if u is not None]
-
-        def judge(nodes, counted):
-            found = F.concat(
-                _when(shaped.isNull(), "type", F.lit(""), "value is not of type object"),
-                *compiler.findings,
-                F.when(counted, no_findings()).otherwise(F.concat(*unknown)),
-                F.flatten(F.transform(F.filter(nodes, lambda n: ~_fine(n)), _check)),
-            )
-            strings = F.transform(
-                F.filter(nodes, lambda n: n["text"].isNotNull()),
-                lambda n: F.struct(n["path"].alias("path"), n["text"].alias("value")),
-            )
-            return let(found, lambda f: F.struct(
-                f.alias("findings"), strings.alias("strings"),
-                (counted & ~F.exists(f, lambda x: x["code"] == "type")).alias("complete"),
-            ))
-
-        return let(read, lambda nodes: let(key_count(body) == known, lambda counted: judge(nodes, counted)))
-
-    return let(value, of)
-
-
-@lru_cache(maxsize=64)
-def _examine_columns(session, body: str, document: str, properties, section_options) -> Column:
-    derived, pinned, skip = section_options
-    return examine(
-        F.col(body), F.col(document), properties, derived=derived,
-        pinned_years=F.col(pinned) if pinned else None,
-        skip_duration=F.col(skip) if skip else None,
-    )
-
-
-def examine_columns(
-    body: str, document: str, properties=None, *, derived=frozenset(), pinned_years: str | None = None,
-    skip_duration: str | None = None,
-) -> Column:
-    """examine over columns given by name; the expression is built once per session."""
-    options = (frozenset(derived), pinned_years, skip_duration)
-    properties = tuple(properties) if properties is not None else None
-    return _examine_columns(SparkSession.active(), body, document, properties, options)
+    compiler = _Compiler(document, pinned_years, skip_duration, omit)
+    compiler.compile_members(root, "d", "")
+    # Each value below is bound once by a lambda over an array of one entry.
+    typed = f"""transform(filter(concat({', '.join(compiler.nodes)}), n -> n.v IS NOT NULL),
+      n -> named_struct('path', n.path, 'low', n.low, 'high', n.high, 'v', n.v,
+        'b', element_at({compiler.table()}, n.spec), 't', schema_of_variant(n.v)))"""
+    read = f"""transform({typed}, t -> named_struct('path', t.path, 'low', t.low, 'high', t.high, 'b', t.b, 't', t.t,
+        'text', IF(t.t = 'STRING', try_variant_get(t.v, '$', 'string'), NULL),
+        'num', IF({_NUMBER}, try_variant_get(t.v, '$', 'double'), NULL)))"""
+    counted = f"{_KEY_COUNT.replace('{body}', body)} = {' + '.join(compiler.counts)}"
+    found = _concat([
+        _when("d IS NULL", "type", "''", "'value is not of type object'"),
+        *compiler.findings,
+        f"IF(counted, {_NO_FINDINGS}, {_concat(compiler.unknown, _NO_FINDINGS)})",
+        f"flatten(transform(filter(nodes, n -> NOT {_FINE}), n -> {_CHECKS}))",
+    ], _NO_FINDINGS)
+    strings = "transform(filter(nodes, n -> n.text IS NOT NULL), n -> named_struct('path', n.path, 'value', n.text))"
+    result = f"""named_struct('findings', found, 'strings', {strings},
+      'complete', counted AND NOT exists(found, f -> f.code = 'type'))"""
+    let = lambda name, value, use: f"element_at(transform(array({value}), {name} -> {use}), 1)"
+    shaped = f"try_variant_get({document}, '$', '{_shape(root, False, omit, '')}')"
+    return F.expr(let("d", shaped, let("nodes", read, let("counted", counted, let("found", found, result)))))
 
 
 def path_order(path: Column) -> Column:

@@ -158,12 +158,13 @@ def section_scope_findings(spark, sf):
     docs = V.json_documents(spark, sf, carried + SECTIONS["academics"])
     members = lambda names: F.concat(F.lit("{"), F.concat_ws(",", *[
         F.concat(F.lit(f'"{n}":'), F.to_json(F.try_variant_get(F.col("v"), f"$.{n}", "variant"))) for n in names]), F.lit("}"))
-    read = docs.withColumn("v", F.try_parse_json("body")).withColumn("candidate", members(SECTIONS["academics"]))
+    read = docs.withColumn("v", F.try_parse_json("body")).withColumns({
+        "candidate": members(SECTIONS["academics"]), "merged": members(carried + SECTIONS["academics"])})
     read = read.withColumns({
         "cv": F.try_parse_json("candidate"),
-        "typed": F.from_json("body", DOCUMENT_TYPE),
-        "keys": F.array(*[F.lit(n) for n in carried + SECTIONS["academics"]]),
-        "leaves": string_leaves(F.col("v"), nesting_depth(F.col("body"))),
+        "typed": F.from_json("merged", DOCUMENT_TYPE),
+        "keys": F.json_object_keys("merged"),
+        "leaves": string_leaves(F.try_parse_json("merged"), nesting_depth(F.col("merged"))),
         "years": pinned_years(F.get_json_object("body", "$.course_name")),
     })
     context = R.Context(academic_years=F.col("years"), leaves=F.col("leaves"))
