@@ -1,9 +1,9 @@
 """Near-duplicates by b-bit MinHash and a multi-index Hamming join.
 
 1. A text's distinct five-word shingles give a signature of 64 symbols of 16 bits. Texts with equal sets are one class.
-2. Signatures are cut into 13 chunks. Two signatures that differ in at most 24 symbols have, by the pigeonhole principle, a
+2. Signatures are cut into 13 chunks. Two signatures that differ in at most 25 symbols have, by the pigeonhole principle, a
    chunk with at most one error: each chunk is posted once for each symbol left out, so such a pair meets in a bucket,
-   always. At a similarity of 0.85 a symbol differs with probability 0.15; more than 24 of 64 differ in under one of 10**5
+   always. At a similarity of 0.85 a symbol differs with probability 0.15; more than 25 of 64 differ in under one of 10**7
    such pairs, and in fewer the more alike the texts are.
 3. In a bucket every class is paired with the bucket's first one only. Pairs under the distance are confirmed on full sets.
    What confirmed links have not joined meets again: in each bucket that still holds several components, all pairs of
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from docwright.llm.common import slices, stored, text_or_empty
 from docwright.llm.words import _weights, mix, shingle_sets
 
-SYMBOLS, DISTANCE, CHUNKS = 64, 24, 13
+SYMBOLS, DISTANCE, CHUNKS = 64, 25, 13
 SHINGLE_WORDS = 5
 ERRORS = DISTANCE // CHUNKS
 _BLOCK = 1 << 12

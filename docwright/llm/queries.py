@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docwright.llm import near_duplicates as near
+from docwright.llm import quality
 from docwright.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(F.col("row.doc_id").alias("doc_id"), "held_out", "score", "predicted")
