@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docwright.llm import decontamination
 from docwright.llm import near_duplicates as near
 from docwright.llm import quality
 from docwright.llm.common import ship
@@ -37,3 +38,29 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select(F.col("row.doc_id").alias("doc_id"), "held_out", "score", "predicted")
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op5_decontamination"] = r"""
+WITH items AS (
+    SELECT DISTINCT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM benchmark
+), asked AS (
+    SELECT item_id, w, least(5, len(w)) AS k FROM items WHERE len(w) > 0
+), item_shingles AS (
+    SELECT DISTINCT item_id, k, list_slice(w, i, i + k - 1) AS s FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM asked)
+), sizes AS (
+    SELECT item_id, k, count(*) AS item_shingles FROM item_shingles GROUP BY ALL
+), docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), doc_shingles AS (
+    SELECT DISTINCT doc_id, k, list_slice(w, i, i + k - 1) AS s
+    FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM docs, (SELECT DISTINCT k FROM asked))
+)
+SELECT doc_id, item_id, item_shingles, count(*) AS found, count(*) / item_shingles AS containment
+FROM item_shingles JOIN doc_shingles USING (k, s) JOIN sizes USING (item_id, k)
+GROUP BY doc_id, item_id, item_shingles HAVING 100 * count(*) >= 80 * item_shingles
+"""
