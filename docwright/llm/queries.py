@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docwright.llm import decontamination
 from docwright.llm import near_duplicates as near
-from docwright.llm import quality
+from docwright.llm import packing, quality
 from docwright.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file, which is installed beside the libraries on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 @query
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
@@ -64,3 +71,8 @@ SELECT doc_id, item_id, item_shingles, count(*) AS found, count(*) / item_shingl
 FROM item_shingles JOIN doc_shingles USING (k, s) JOIN sizes USING (item_id, k)
 GROUP BY doc_id, item_id, item_shingles HAVING 100 * count(*) >= 80 * item_shingles
 """
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
