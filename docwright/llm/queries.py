@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docwright.llm import decontamination
 from docwright.llm import near_duplicates as near
-from docwright.llm import packing, quality
+from docwright.llm import packing, pii, quality
 from docwright.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,12 @@ GROUP BY doc_id, item_id, item_shingles HAVING 100 * count(*) >= 80 * item_shing
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS], F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"))
