@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docwright.llm import decontamination
+from docwright.llm import decontamination, language_model
 from docwright.llm import near_duplicates as near
 from docwright.llm import packing, pii, quality
 from docwright.llm.common import ship
@@ -85,3 +85,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS], F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
         pii.written(F.col("spans")).alias("spans"))
+
+
+@query
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
