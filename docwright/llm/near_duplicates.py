@@ -6,8 +6,10 @@
    always. At a similarity of 0.85 a symbol differs with probability 0.15; more than 25 of 64 differ in under one of 10**7
    such pairs, and in fewer the more alike the texts are.
 3. In a bucket every class is paired with the bucket's first one only. Pairs under the distance are confirmed on full sets.
-   What confirmed links have not joined meets again: in each bucket that still holds several components, all pairs of
-   different components under the distance are confirmed too. So no group is expanded into all its pairs, and no link is lost.
+   Then twice, in each bucket that still holds several components, the rest is paired with the class that has most links, the
+   text that the others are copies of. What is apart after that is compared in blocks: classes that share buckets form a
+   cluster, its pairs of different components under the distance are confirmed inside the tasks, and only links that join
+   components come out. So no group is expanded into all its pairs, and no link is lost.
 4. Components come from alternating large-star and small-star steps over the confirmed links.
 """
 
@@ -27,6 +29,7 @@ from docwright.llm.words import _weights, mix, shingle_sets
 SYMBOLS, DISTANCE, CHUNKS = 64, 25, 13
 SHINGLE_WORDS = 5
 ERRORS = DISTANCE // CHUNKS
+HUB_ROUNDS, BLOCK_CLASSES = 2, 512
 _BLOCK = 1 << 12
 
 
@@ -90,7 +93,6 @@ def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of sorted postings: each class of a bucket of two or more with the bucket's first class, and whether there are more than two."""
-    last = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     hub: tuple[int, int] | None = None
 
     def out(bucket: np.ndarray, ids: np.ndarray) -> pa.RecordBatch | None:
@@ -150,14 +152,17 @@ def _close(classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(_under_distance, "a long, b long")
 
 
-def _confirmed(documents: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough; texts are read again for the classes in question only."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
-    chosen = classes.join(asked, "class_id").select("class_id", F.col("doc_id").alias("_doc"))
+def _sets(documents: DataFrame, classes: DataFrame, asked: DataFrame) -> DataFrame:
+    """(class_id, x) of the classes asked for: their full sets; texts are read again for these only."""
+    chosen = classes.join(asked, "class_id").select(F.coalesce("doc_id", F.lit(-1 << 63)).alias("_doc")).distinct()
     texts = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63)).alias("_doc"), text_or_empty("text").alias("text"))
-    wanted = texts.join(chosen.select(F.coalesce("_doc", F.lit(-1 << 63)).alias("_doc")).distinct(), "_doc", "left_semi")
-    sets = wanted.select("text").mapInArrow(_full_sets, "class_id long, x binary").dropDuplicates(["class_id"])
-    sets = stored(sets.join(asked, "class_id", "left_semi"), "near-sets")
+    sets = texts.join(chosen, "_doc", "left_semi").select("text").mapInArrow(_full_sets, "class_id long, x binary").dropDuplicates(["class_id"])
+    return stored(sets.join(asked, "class_id", "left_semi"), "near-sets")
+
+
+def _confirmed(documents: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough."""
+    sets = _sets(documents, classes, pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct())
     first, second = (sets.select(F.col("class_id").alias(s), F.col("x").alias(f"x{s}")) for s in ("a", "b"))
     return pairs.join(first, "a").join(second, "b").select("a", "b", "xa", "xb").mapInArrow(_similar(percent), "a long, b long")
 
@@ -181,31 +186,64 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def _cross_pairs(percent: int):
-    """All pairs of two blocks of a bucket that lie in different components, fit in size and are under the distance."""
-    def pairs(key: tuple, table: pa.Table) -> pa.Table:
+def _joining_links(percent: int):
+    """Of two blocks of a cluster: links between different components, as many as it takes to join them, confirmed on full sets."""
+    def links(key: tuple, table: pa.Table) -> pa.Table:
         ids, comp, n, own = (table.column(c).to_numpy() for c in ("class_id", "component", "n_shingles", "own"))
         symbols = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint16).reshape(-1, SYMBOLS)
-        within, found_a, found_b = key[1].as_py() == key[2].as_py(), [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("x").to_pylist()]
+        distinct, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        starts, within = np.concatenate(([0], np.cumsum(n)[:-1])), key[1].as_py() == key[2].as_py()
+        _, comp = np.unique(comp, return_inverse=True)
+        root = np.arange(comp.max() + 1)
+        found: list[tuple[int, int]] = []
         for at in range(len(ids)):
-            rest = slice(at + 1, None)
-            fits = (comp[rest] != comp[at]) & (100 * n[rest] >= percent * n[at]) & (100 * n[at] >= percent * n[rest])
-            fits = np.flatnonzero(fits if within else fits & (own[rest] != own[at])) + at + 1
+            fits = (root[comp] != root[comp[at]]) & (100 * n >= percent * n[at]) & (100 * n[at] >= percent * n)
+            fits = np.flatnonzero(fits if within else fits & (own != own[at]))
             fits = fits[(symbols[fits] != symbols[at]).sum(axis=1) <= DISTANCE]
-            found_a.append(np.full(len(fits), ids[at]))
-            found_b.append(ids[fits])
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-    return pairs
+            if not len(fits):
+                continue
+            has = np.zeros(len(distinct), dtype=np.int32)
+            has[flat[starts[at]:starts[at] + n[at]]] = 1
+            both = np.add.reduceat(has[flat], starts)[fits]
+            for other in fits[100 * both >= percent * (n[at] + n[fits] - both)].tolist():
+                x, y = root[comp[at]], root[comp[other]]
+                if x != y:
+                    root[root == y] = x
+                    found.append((ids[at], ids[other]))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+    return links
+
+
+def _linked_in_blocks(documents: DataFrame, classes: DataFrame, apart: DataFrame, percent: int) -> DataFrame:
+    """Clusters are cut into blocks of about BLOCK_CLASSES, and each two blocks are one group: none is larger, however hot a bucket."""
+    first = apart.groupBy("bucket").agg(F.min("class_id").alias("b"))
+    clusters = components(apart.join(first, "bucket").select(F.col("class_id").alias("a"), "b")).select(F.col("node").alias("class_id"), F.col("component").alias("cluster"))
+    nodes = apart.select("class_id", "component").distinct().join(clusters, "class_id").join(classes.select("class_id", "n_shingles", "signature"), "class_id")
+    nodes = nodes.join(_sets(documents, classes, apart.select("class_id").distinct()), "class_id")
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES).alias("blocks"))
+    dealt = nodes.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return dealt.select(
+        "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class_id", "component", "n_shingles", "signature", "x",
+    ).groupBy("cluster", "i", "j").applyInArrow(_joining_links(percent), "a long, b long")
 
 
-def _crossing(again: DataFrame, percent: int) -> DataFrame:
-    """Buckets are cut into blocks of about 2,048 classes, and each two blocks are one group: none is larger, however hot the bucket."""
-    blocks = again.withColumn("blocks", F.ceil(F.col("n") / 2048)).withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("blocks")))
-    dealt = blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return dealt.select(
-        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class_id", "component", "n_shingles", "signature",
-    ).groupBy("bucket", "i", "j").applyInArrow(_cross_pairs(percent), "a long, b long").distinct()
+def _still_apart(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """The buckets that hold several components: (bucket, class_id, component)."""
+    placed = members.select("bucket", "class_id").join(joined.withColumnRenamed("node", "class_id"), "class_id", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "class_id"))
+    apart = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return placed.join(apart.where("low <> high").select("bucket"), "bucket")
+
+
+def _with_most_linked(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Each class with the one of its bucket that has most links, where their components differ."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count(F.lit(1)).alias("links"))
+    hubs = members.join(degree, "class_id").groupBy("bucket").agg(
+        F.max_by(F.struct(F.col("class_id").alias("hub"), F.col("component").alias("own")), F.struct("links", "class_id")).alias("h")).select("bucket", "h.*")
+    pairs = members.join(hubs, "bucket").where("component <> own")
+    return pairs.select(F.least("hub", "class_id").alias("a"), F.greatest("hub", "class_id").alias("b")).distinct()
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
@@ -223,15 +261,22 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
         posted.repartition(F.col("bucket")).sortWithinPartitions("bucket", "class_id").mapInArrow(_stars, "bucket long, a long, b long"), "near-stars")
     tried = stored(_close(classes, stars.select("a", "b").distinct(), percent), "near-pairs")
     links = stored(_confirmed(documents, classes, tried, percent), "near-links")
+    several = stars.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("a").alias("class_id")).where("n > 1")
+    members = several.select("bucket", "class_id").unionByName(
+        stars.join(several.select("bucket"), "bucket").select("bucket", F.col("b").alias("class_id")))
+    for _ in range(HUB_ROUNDS):
+        joined = stored(components(links), "near-components")
+        members = stored(_still_apart(members, joined), "near-apart")
+        pairs = _with_most_linked(members, links).join(tried, ["a", "b"], "left_anti")
+        close = stored(_close(classes, pairs, percent), "near-pairs")
+        if close.isEmpty():
+            break
+        tried, links = tried.unionByName(close), links.unionByName(_confirmed(documents, classes, close, percent))
+        links = stored(links, "near-links")
     joined = stored(components(links), "near-components")
-    # buckets of three or more classes that are not one component yet
-    members = stars.select("bucket", F.col("b").alias("class_id")).unionByName(stars.groupBy("bucket").agg(F.min("a").alias("class_id")))
-    placed = members.join(joined.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
-    open_buckets = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("n > 2 AND low <> high")
-    again = placed.join(open_buckets.select("bucket", "n"), "bucket").join(classes.select("class_id", "n_shingles", "signature"), "class_id")
-    crossing = stored(_crossing(again, percent).join(tried, ["a", "b"], "left_anti"), "near-crossing")
-    if not crossing.isEmpty():
-        links = links.unionByName(_confirmed(documents, classes, crossing, percent))
+    apart = stored(_still_apart(members, joined), "near-apart")
+    if not apart.isEmpty():
+        links = links.unionByName(stored(_linked_in_blocks(documents, classes, apart, percent), "near-links"))
         joined = stored(components(links), "near-components")
     placed = classes.select("class_id", "doc_id").join(joined.withColumnRenamed("node", "class_id"), "class_id")
     lowest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
