@@ -62,14 +62,19 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
         yield batch.slice(start)
 
 
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once for each Spark context."""
+    """Sends this package to the executors, once for each Spark context, and keeps batches small, as texts may be long."""
     import shutil
     from pathlib import Path
 
     import docwright
 
     context = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if getattr(context, "_docwright_shipped", False):
         return
     package = Path(docwright.__file__).parent

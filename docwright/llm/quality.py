@@ -72,9 +72,14 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"row": part.column("row"), "x": pa.array([r.tobytes() for r in rows], pa.binary())})
 
 
+def _rows(documents: DataFrame, columns: list[str]) -> DataFrame:
+    """(row, text): the named columns as one struct, so that no name can clash, and the text."""
+    return documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("text").cast("string").alias("text"))
+
+
 def featured(documents: DataFrame) -> DataFrame:
-    """(row, x): all columns of a document as one struct, and its measures; names cannot clash."""
-    frame = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), text_or_empty("text").alias("text"))
+    """(row, x): the doc_id in a struct, and the measures of the whole text."""
+    frame = _rows(documents, ["doc_id"])
     return frame.mapInArrow(_featured, frame.select("row", F.lit(b"").alias("x")).schema)
 
 
@@ -159,31 +164,52 @@ def learn(training: DataFrame, prior: float, steps: int = 12) -> Model:
     return Model(center, scale, w, prior, best)
 
 
+def _probability(x: np.ndarray, model: Model) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip((x.astype(np.float64) - model.center) / model.scale @ model.weights, -40, 40)))
+
+
 def score(frame: DataFrame, model: Model) -> DataFrame:
     """(row, score) of what `featured` gives."""
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                g = (_matrix(batch) - model.center) / model.scale @ model.weights
-                yield pa.record_batch({"row": batch.column("row"), "score": pa.array(1 / (1 + np.exp(-np.clip(g, -40, 40))))})
+                yield pa.record_batch({"row": batch.column("row"), "score": pa.array(_probability(_matrix(batch), model))})
 
     return frame.mapInArrow(scored, frame.select("row", F.lit(0.0).cast("double").alias("score")).schema)
 
 
-def classify(documents: DataFrame, labels: DataFrame, folds: int = 5, cut: float = 0.3, prior: float | None = None) -> DataFrame:
-    """(row, held_out, score, predicted): `row` holds all columns of a document, whatever their names.
-
-    Rows whose crc32(doc_id) is 0 modulo `folds` are held out; their labels are not read. Null labels, and ids labelled both
-    0 and 1, count as unlabelled. A null or empty text is scored like any other. No labelled row is left out: the fit has no sample.
-    """
-    held_out = crc_remainder("row.doc_id", folds) == 0
-    table = stored(featured(documents), "quality-features")
+def fit(table: DataFrame, labels: DataFrame, folds: int, prior: float | None = None) -> Model:
+    """A model from the features of all training rows. No labelled row is left out: the fit has no sample."""
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").where(crc_remainder("doc_id", folds) != 0).groupBy(F.col("doc_id").alias("_id")).agg(
         F.min("quality").alias("low"), F.max("quality").alias("high")).where("low = high")
     if prior is None:
         total, ones = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("high"), F.lit(0))).first()
         prior = (ones + 1) / (total + 2)
-    training = table.where(~held_out).select(F.col("row.doc_id").alias("_id"), "x").join(known, "_id", "left")
+    training = table.where(crc_remainder("row.doc_id", folds) != 0).select(F.col("row.doc_id").alias("_id"), "x").join(known, "_id", "left")
     training = stored(training.select("x", F.coalesce(F.col("high") == 1, F.lit(False)).alias("positive")), "quality-training")
-    model = learn(training, min(max(prior, 0.01), 0.99))
-    return score(table, model).select("row", held_out.alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+    return learn(training, min(max(prior, 0.01), 0.99))
+
+
+def classify(documents: DataFrame, labels: DataFrame, folds: int = 5, cut: float = 0.3, prior: float | None = None) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted.
+
+    Rows whose crc32(doc_id) is 0 modulo `folds` are held out; their labels are not read. Null labels, and ids labelled both
+    0 and 1, count as unlabelled. A null or empty text is scored like any other; repeated rows each get a row. Extra columns are
+    not read.
+    """
+    table = stored(featured(documents), "quality-features")
+    scored = score(table, fit(table, labels, folds, prior)).select(F.col("row.doc_id").alias("doc_id"), "score")
+    return scored.select("doc_id", (crc_remainder("doc_id", folds) == 0).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+def accepted(documents: DataFrame, labels: DataFrame, folds: int = 5, cut: float = 0.3) -> DataFrame:
+    """The documents that the classifier takes for good, with all their columns."""
+    model = fit(stored(featured(documents), "quality-features"), labels, folds)
+    frame = _rows(documents, [c for c in documents.columns if c != "text"])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            yield part.filter(pa.array(_probability(features(part.column("text")), model) >= cut))
+
+    kept = frame.mapInArrow(keep, frame.schema)
+    return kept.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in documents.columns])
