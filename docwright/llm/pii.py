@@ -30,6 +30,7 @@ _BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _BYTE_OR_ZERO = rf"(?:{_BYTE}|0++)"
 _SPAN = "struct<kind:string,start:int,end:int,value:string,left:string>"
 CONTEXT_CHARS = 64
+BROADCAST_WORDS = 100_000
 MIN_SEEDS, MIN_SCORE, ROUNDS = 3, 0.5, 3
 
 
@@ -101,8 +102,11 @@ def scan(documents: DataFrame, keep_rows: bool = False) -> DataFrame:
 
 
 def word_counts(documents: DataFrame, words: DataFrame) -> DataFrame:
-    """How often each of the given words stands in all texts."""
+    """How often each of the given words stands in all texts. Up to BROADCAST_WORDS words go to every task; more of them are joined by exchange."""
     every = documents.select(F.explode(F.split(F.lower(text_or_empty("text")), r"\s+")).alias("left"))
+    words = stored(words, "pii-words")
+    if words.count() <= BROADCAST_WORDS:
+        return every.join(F.broadcast(words), "left", "left_semi").groupBy("left").agg(F.count(F.lit(1)).alias("total"))
     return every.groupBy("left").agg(F.count(F.lit(1)).alias("total")).join(words, "left", "left_semi")
 
 
