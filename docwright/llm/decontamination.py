@@ -98,27 +98,67 @@ def _search(index: Index):
     return search
 
 
+def _blocks(benchmark: DataFrame, percent: int, index_bytes: int) -> Iterator:
+    """A broadcast index for each block of items; a block's texts have about `index_bytes` / 8 bytes."""
+    items = benchmark.select(F.col("item_id").cast("long"), text_or_empty("text").alias("text")).distinct()
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text") * 8), F.lit(0))).first()[0]
+    blocks = max(1, -(-int(size) // index_bytes))
+    for block in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+        yield benchmark.sparkSession.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in rows], percent))
+
+
+def _found(index: Index, part: pa.RecordBatch) -> Iterator[tuple[int, int, int, int]]:
+    """(row, item_id, size of the item's set, shingles found) of each pair that is confirmed."""
+    texts, last, words, sets = part.column("text"), -1, [], {}
+    for t, i in index.candidates(*word_hashes(texts)).tolist():
+        if t != last:
+            last, words, sets = t, words_of(texts[t].as_py()), {}
+        item_id, k, shingles = index.items[i]
+        if k not in sets:
+            sets[k] = shingles_of(words, k)
+        found = len(shingles & sets[k])
+        if 100 * found >= index.percent * len(shingles):
+            yield t, item_id, len(shingles), found
+
+
+def _search(index):
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            rows = list(_found(index.value, part))
+            at, item_id, size, found = (pa.array([r[c] for r in rows], pa.int64()) for c in range(4))
+            containment = pa.array([r[3] / r[2] for r in rows], pa.float64())
+            yield pa.record_batch([part.column("doc_id").take(at), item_id, size, found, containment], names=["doc_id", "item_id", "item_shingles", "found", "containment"])
+    return search
+
+
+def _without(index):
+    def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            keep = np.ones(part.num_rows, dtype=bool)
+            keep[[r[0] for r in _found(index.value, part)]] = False
+            yield part.filter(pa.array(keep))
+    return without
+
+
 def find_items(documents: DataFrame, benchmark: DataFrame, percent: int = PERCENT, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """One row per document and test item of whose distinct shingles at least `percent` lie in the document.
 
     Shingles have five words; an item of fewer words is one shingle of all of them. Items without words are in no document,
-    documents without words hold no item. Repeated items count once, repeated documents each; null ids stay null.
+    documents without words hold no item. Repeated items count once, repeated documents each; null ids stay null. Extra columns
+    are not read.
     """
-    spark = documents.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long"), text_or_empty("text").alias("text")).distinct()
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text") * 8), F.lit(0))).first()[0]
-    blocks = max(1, -(-int(size) // index_bytes))
     texts = documents.select(F.col("doc_id").cast("long"), text_or_empty("text").alias("text"))
-    results = []
-    for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        index = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in rows], percent))
-        results.append(texts.mapInArrow(_from(index), _RESULT))
-    found = results[0]
-    for more in results[1:]:
-        found = found.unionByName(more)
+    found = None
+    for index in _blocks(benchmark, percent, index_bytes):
+        more = texts.mapInArrow(_search(index), _RESULT)
+        found = more if found is None else found.unionByName(more)
     return found
 
 
-def _from(index):
-    return lambda batches: _search(index.value)(batches)
+def without_items(documents: DataFrame, benchmark: DataFrame, percent: int = PERCENT, index_bytes: int = INDEX_BYTES) -> DataFrame:
+    """The documents, with all their columns, that hold no item by the rule of `find_items`."""
+    frame = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != "text"]).alias("row"), F.col("text").cast("string").alias("text"))
+    for index in _blocks(benchmark, percent, index_bytes):
+        frame = frame.mapInArrow(_without(index), frame.schema)
+    return frame.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in documents.columns])
