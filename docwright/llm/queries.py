@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docwright.llm import decontamination, language_model
 from docwright.llm import near_duplicates as near
-from docwright.llm import packing, pii, quality
+from docwright.llm import neighbours, packing, pii, quality
 from docwright.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
