@@ -27,7 +27,7 @@ from docwright.llm.files import map_array, write_array
 from docwright.llm.words import mix, word_hashes
 
 END = np.uint64(0x5EED0FE2D0C5A11B)
-FLUSH_KEYS = 4_000_000
+FLUSH_KEYS = 1_500_000
 _BLOBS = "shard long, keys binary, counts binary"
 
 
