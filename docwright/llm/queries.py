@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docwright.llm import decontamination, language_model
+from docwright.llm import decontamination, html_content, language_model
 from docwright.llm import near_duplicates as near
-from docwright.llm import neighbours, packing, pii, quality
+from docwright.llm import neighbours, packing, pii, quality, sharding
 from docwright.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,13 @@ def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_content.extract(table(spark, sf_dir, "pages"))
