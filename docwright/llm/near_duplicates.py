@@ -6,10 +6,9 @@
    always. At a similarity of 0.85 a symbol differs with probability 0.15; more than 25 of 64 differ in under one of 10**7
    such pairs, and in fewer the more alike the texts are.
 3. In a bucket every class is paired with the bucket's first one only. Pairs under the distance are confirmed on full sets.
-   Then twice, in each bucket that still holds several components, the rest is paired with the class that has most links, the
-   text that the others are copies of. What is apart after that is compared in blocks: classes that share buckets form a
-   cluster, its pairs of different components under the distance are confirmed inside the tasks, and only links that join
-   components come out. So no group is expanded into all its pairs, and no link is lost.
+   Where a bucket still holds several components, the classes that share buckets form a cluster, which is compared in blocks:
+   its pairs of different components under the distance are confirmed inside the tasks, and only links that join components
+   come out. So no group is expanded into all its pairs, and no link is lost.
 4. Components come from alternating large-star and small-star steps over the confirmed links.
 """
 
@@ -29,7 +28,7 @@ from docwright.llm.words import _weights, mix, shingle_sets
 SYMBOLS, DISTANCE, CHUNKS = 64, 25, 13
 SHINGLE_WORDS = 5
 ERRORS = DISTANCE // CHUNKS
-HUB_ROUNDS, BLOCK_CLASSES = 2, 512
+BLOCK_CLASSES = 512
 _BLOCK = 1 << 12
 
 
@@ -237,15 +236,6 @@ def _still_apart(members: DataFrame, joined: DataFrame) -> DataFrame:
     return placed.join(apart.where("low <> high").select("bucket"), "bucket")
 
 
-def _with_most_linked(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Each class with the one of its bucket that has most links, where their components differ."""
-    degree = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count(F.lit(1)).alias("links"))
-    hubs = members.join(degree, "class_id").groupBy("bucket").agg(
-        F.max_by(F.struct(F.col("class_id").alias("hub"), F.col("component").alias("own")), F.struct("links", "class_id")).alias("h")).select("bucket", "h.*")
-    pairs = members.join(hubs, "bucket").where("component <> own")
-    return pairs.select(F.least("hub", "class_id").alias("a"), F.greatest("hub", "class_id").alias("b")).distinct()
-
-
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -264,15 +254,6 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     several = stars.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("a").alias("class_id")).where("n > 1")
     members = several.select("bucket", "class_id").unionByName(
         stars.join(several.select("bucket"), "bucket").select("bucket", F.col("b").alias("class_id")))
-    for _ in range(HUB_ROUNDS):
-        joined = stored(components(links), "near-components")
-        members = stored(_still_apart(members, joined), "near-apart")
-        pairs = _with_most_linked(members, links).join(tried, ["a", "b"], "left_anti")
-        close = stored(_close(classes, pairs, percent), "near-pairs")
-        if close.isEmpty():
-            break
-        tried, links = tried.unionByName(close), links.unionByName(_confirmed(documents, classes, close, percent))
-        links = stored(links, "near-links")
     joined = stored(components(links), "near-components")
     apart = stored(_still_apart(members, joined), "near-apart")
     if not apart.isEmpty():
