@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docwright.llm import decontamination, html_content, language_model
 from docwright.llm import near_duplicates as near
-from docwright.llm import neighbours, packing, pii, quality, sharding
+from docwright.llm import neighbours, packing, pii, quality, sharding, warc
 from docwright.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,8 +43,7 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return scored.select(F.col("row.doc_id").alias("doc_id"), "held_out", "score", "predicted")
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 @query
@@ -105,3 +104,19 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_content.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op1_warc"] = r"""
+WITH d AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+m AS (SELECT h, min(page_id) AS first FROM d GROUP BY h),
+bits AS (SELECT page_id, h, list_aggregate(list_transform(range(1, 41), lambda i: lpad(bin(('0x' || sha1(h)[i])::INT), 4, '0')), 'string_agg', '') AS b FROM d)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+    list_aggregate(list_transform(range(0, 32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[CAST(1 + list_sum(list_transform(range(1, 6), lambda j: CASE WHEN b[5 * i + j] = '1' THEN 1 << (5 - j) ELSE 0 END)) AS INT)]), 'string_agg', '') AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM bits JOIN m USING (h)
+"""
