@@ -3,7 +3,7 @@
 Pieces of equal length are alike, so the plan is made from the counts of the 1,024 lengths and is as small for any number of
 documents. From the longest length down, the gap it leaves is looked up among the lengths that are left: one, a pair or a triple
 that fills it exactly is consumed as often as the counts allow. What has no exact complement is placed best fit, longest first,
-in the fullest sequence that still takes it. The plan is a table of runs: for each length and place, which ordinals go where.
+in the fullest sequence that still takes it, and the plan of fewest sequences among a few orders of filling is taken. The plan is a table of runs: for each length and place, which ordinals go where.
 Spark numbers the pieces of each length, over buckets so that a frequent length is no single group, and joins the runs.
 """
 
@@ -27,17 +27,19 @@ BUCKET_ROWS = 100_000
 Pattern = tuple[int, ...]
 
 
-def complement(counts: np.ndarray, gap: int) -> Pattern | None:
-    """One, two or three lengths, all available, that together have exactly this length; the longest first."""
-    if gap <= 0:
-        return None
+def complement(counts: np.ndarray, gap: int, most: int = 3) -> Pattern | None:
+    """One, two or three lengths (at most `most`), all available, that together have exactly this length; the longest first."""
     if counts[gap]:
         return (gap,)
+    if most < 2:
+        return None
     a = np.arange(gap - 1, (gap - 1) // 2, -1)
     b = gap - a
     fits = np.flatnonzero((counts[a] > 0) & (counts[b] > (a == b)))
     if len(fits):
         return int(a[fits[0]]), int(b[fits[0]])
+    if most < 3:
+        return None
     for first in range(gap - 2, (gap - 1) // 3, -1):
         if not counts[first]:
             continue
@@ -51,28 +53,37 @@ def complement(counts: np.ndarray, gap: int) -> Pattern | None:
     return None
 
 
-def plan(lengths: dict[int, int], size: int = SEQUENCE_TOKENS) -> list[tuple[Pattern, int]]:
-    """Patterns of lengths with how many sequences have each; all pieces are used."""
+def exact(lengths: dict[int, int], size: int, rounds: tuple[int, ...]) -> list[tuple[Pattern, int]]:
+    """For each round, from the longest length down, gaps are filled exactly by up to that many pieces; the rest goes best fit."""
     counts = np.zeros(size + 1, dtype=np.int64)
     for n, c in lengths.items():
         counts[n] = c
-    made, rest = [((size,), int(counts[size]))] if counts[size] else [], {}
+    made = [((size,), int(counts[size]))] if counts[size] else []
     counts[size] = 0
-    for length in range(size - 1, 0, -1):
-        while counts[length]:
-            counts[length] -= 1
-            found = complement(counts, size - length)
-            counts[length] += 1
-            if found is None:
-                rest[length] = int(counts[length])
-                counts[length] = 0
-                break
-            pattern = (length, *found)
-            times = min(int(counts[n]) // k for n, k in Counter(pattern).items())
-            for n in pattern:
-                counts[n] -= times
-            made.append((pattern, times))
-    return made + best_fit(rest, size)
+    for most in rounds:
+        for length in range(size - 1, 0, -1):
+            while counts[length]:
+                counts[length] -= 1
+                found = complement(counts, size - length, most)
+                counts[length] += 1
+                if found is None:
+                    break
+                pattern = (length, *found)
+                times = min(int(counts[n]) // k for n, k in Counter(pattern).items())
+                for n in pattern:
+                    counts[n] -= times
+                made.append((pattern, times))
+    return made + best_fit({int(n): int(counts[n]) for n in np.flatnonzero(counts)}, size)
+
+
+def plan(lengths: dict[int, int], size: int = SEQUENCE_TOKENS) -> list[tuple[Pattern, int]]:
+    """Patterns of lengths with how many sequences have each; all pieces are used.
+
+    Filling by pairs and triples everywhere can spend the short pieces that long ones need, so the counts are planned with one, two
+    and three pieces a gap, and the plan of fewest sequences is taken.
+    """
+    plans = [exact(lengths, size, rounds) for rounds in ((3,), (1, 2, 3), (1, 2), (1,), ())]
+    return min(plans, key=lambda made: sum(times for _, times in made))
 
 
 def best_fit(lengths: dict[int, int], size: int) -> list[tuple[Pattern, int]]:
