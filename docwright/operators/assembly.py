@@ -38,17 +38,15 @@ def merge_sections(base: DataFrame, sections: DataFrame) -> DataFrame:
     """Documents out of injected fields (course_id, fields) and accepted sections (course_id, section, payload).
 
     Sections are laid over the injected fields in pipeline order; the sections a
-    course lacks are listed. One shuffle, on the course.
+    course lacks are listed, those whose payload is no object too. One shuffle, on the course.
     """
     payloads = sections.groupBy("course_id").agg(*[
         F.max(F.when(F.col("section") == s, F.col("payload"))).alias(f"_{s}") for s in SECTIONS])
     joined = base.join(payloads, "course_id", "left")
-    empty = F.create_map().cast("map<string,variant>")
-    merged = as_object(F.parse_json("fields"))
-    for s in SECTIONS:
-        merged = over(merged, F.coalesce(as_object(F.try_parse_json(F.col(f"_{s}"))), empty))
-    missing = F.array_compact(F.array(*[F.when(F.col(f"_{s}").isNull(), F.lit(s)) for s in SECTIONS]))
-    return joined.select("course_id", F.to_json(merged).alias("body"), missing.alias("missing_sections"))
+    parts = joined.select("course_id", "fields", F.array(*[as_object(F.try_parse_json(F.col(f"_{s}"))) for s in SECTIONS]).alias("parts"))
+    merged = F.aggregate(F.array_compact("parts"), as_object(F.parse_json("fields")), over)
+    missing = F.array_compact(F.array(*[F.when(F.col("parts")[at].isNull(), F.lit(s)) for at, s in enumerate(SECTIONS)]))
+    return parts.select("course_id", F.to_json(merged).alias("body"), missing.alias("missing_sections"))
 
 
 def latest_sections(sections: DataFrame) -> DataFrame:

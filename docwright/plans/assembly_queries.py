@@ -74,7 +74,7 @@ def latest_section(spark, sf):
 
 @query("section_merge", f"""WITH {_SECT} SELECT course_id, '{{' || array_to_string(list_sort(list_concat(['"course_id":"' || course_id || '"'],
     coalesce(list(member) FILTER (there AND k % 50 <> 9), []))), ',') || '}}' AS body,
-  coalesce(array_to_string(list(section ORDER BY rank) FILTER (NOT there), '|'), '') AS missing_sections FROM sect GROUP BY course_id, k""")
+  coalesce(array_to_string(list(section ORDER BY rank) FILTER (NOT (there AND k % 50 <> 9)), '|'), '') AS missing_sections FROM sect GROUP BY course_id, k""")
 def section_merge(spark, sf):
     base = table(spark, sf, "orders", "o_orderkey").select(F.concat(F.lit("crs_"), F.col("o_orderkey").cast("string")).alias("course_id"))
     base = base.withColumn("fields", F.to_json(F.struct("course_id")))

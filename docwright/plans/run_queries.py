@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from docwright.constants import SECTIONS
+from docwright.constants import ABORT_STATUS, REJECT_STATUS, SECTIONS
 from docwright.operators import attempts as A
 from docwright.operators import batch as B
 from docwright.operators import publish as P
@@ -298,9 +298,9 @@ def section_counters(spark, sf):
     return B.section_counters(reduced(spark, sf))
 
 
-@query("per_course_rows", _a("""SELECT course_id, CASE WHEN bool_and(status = 'accepted') THEN 'validated' ELSE 'flagged' END AS status,
-  coalesce(array_to_string(list(section ORDER BY section) FILTER (status <> 'accepted'), '|'), '') AS flagged_sections,
-  coalesce(array_to_string(list(section ORDER BY section) FILTER (status = 'accepted' AND cites = 0), '|'), '') AS unsourced_sections,
+@query("per_course_rows", _a(f"""SELECT course_id, CASE WHEN bool_and(status = 'accepted') THEN 'validated' ELSE 'flagged' END AS status,
+  coalesce(array_to_string(list(section ORDER BY list_position({SECTION_LIST}, section)) FILTER (status <> 'accepted'), '|'), '') AS flagged_sections,
+  coalesce(array_to_string(list(section ORDER BY list_position({SECTION_LIST}, section)) FILTER (status = 'accepted' AND cites = 0), '|'), '') AS unsourced_sections,
   CAST(sum(attempts) AS BIGINT) AS requests FROM oc GROUP BY course_id"""))
 def per_course_rows(spark, sf):
     rows = B.per_course(reduced(spark, sf))
@@ -365,7 +365,7 @@ def ledger(spark, sf):
 _PUB = f"""{_FILES}, cand AS (SELECT *, substr(sha1(canonical), 1, 16) AS checksum FROM docs WHERE status = 'validated'),
 led AS (SELECT course_id, CASE WHEN k % 5 = 0 THEN 'stale' ELSE substr(sha1('{{"category":"' || pri || '","course_id":"' || course_id || '","total":' || total || '}}'), 1, 16) END AS checksum FROM f WHERE st = 'F'),
 q AS (SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM led l WHERE l.course_id = c.course_id AND l.checksum = c.checksum)),
-res AS (SELECT *, CASE WHEN http IN (401, 403) THEN 'abort' WHEN http IN (400, 404, 409, 422) THEN 'rejected' WHEN http >= 400 THEN 'failed' ELSE 'published' END AS outcome
+res AS (SELECT *, CASE WHEN http IN {ABORT_STATUS} THEN 'abort' WHEN http IN {REJECT_STATUS} THEN 'rejected' WHEN http >= 400 THEN 'failed' ELSE 'published' END AS outcome
   FROM (SELECT q.*, CASE WHEN k >= 1300 AND k % 1301 = 0 THEN 401 WHEN k % 40 = 1 THEN 422 WHEN k % 40 = 2 THEN 404 WHEN k % 40 = 3 THEN 500 WHEN k % 40 = 4 THEN 503 WHEN k % 40 = 6 THEN 409 ELSE 201 END AS http,
     CASE k % 4 WHEN 0 THEN CAST(k AS VARCHAR) WHEN 1 THEN 'd' || k WHEN 2 THEN course_id END AS remote_id FROM q)),
 kept AS (SELECT * FROM res WHERE k < coalesce((SELECT min(k) FROM res WHERE outcome = 'abort'), 9223372036854775807))"""
@@ -376,14 +376,17 @@ def queued(spark, sf):
 
 
 def results(spark, sf):
+    return answered(queued(spark, sf)).select("course_id", "course_name", "checksum", "ord", "http_status", "outcome", "remote_id")
+
+
+def answered(rows):
+    """Rows with what the remote end said to them."""
     k = F.substring("course_id", 5, 20).cast("bigint")
     status = (F.when((k >= 1300) & (k % 1301 == 0), 401).when(k % 40 == 1, 422).when(k % 40 == 2, 404).when(k % 40 == 3, 500)
               .when(k % 40 == 4, 503).when(k % 40 == 6, 409).otherwise(201))
     body = (F.when(k % 4 == 0, F.format_string('{"id":%d,"uuid":"x"}', k)).when(k % 4 == 1, F.format_string('{"id":null,"data":{"data":{"uuid":"d%d"}}}', k))
             .when(k % 4 == 2, F.format_string('{"course_id":"%s","id":{}}', "course_id")).otherwise('{"ok":true}'))
-    return queued(spark, sf).select(
-        "course_id", "course_name", "checksum", k.alias("ord"), status.alias("http_status"),
-        P.outcome_class(status).alias("outcome"), P.remote_id(body).alias("remote_id"))
+    return rows.withColumns({"ord": k, "http_status": status, "outcome": P.outcome_class(status), "remote_id": P.remote_id(body)})
 
 
 def _p(body):
@@ -437,4 +440,4 @@ def ledger_upsert(spark, sf):
   count(*) FILTER (outcome = 'published') AS published, count(*) FILTER (outcome = 'rejected') AS rejected, count(*) FILTER (outcome = 'failed') AS failed,
   (SELECT count(*) FROM res WHERE outcome = 'abort') > 0 AS aborted FROM kept"""))
 def publish_summary(spark, sf):
-    return P.summary(candidates(spark, sf), queued(spark, sf), results(spark, sf))
+    return P.summary(answered(P.checked(candidates(spark, sf), ledger(spark, sf))))

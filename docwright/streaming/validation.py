@@ -13,9 +13,12 @@ from docwright.operators.report import report, validate
 
 
 def validated_stream(documents: DataFrame, delay: str = "1 day", **options) -> DataFrame:
-    """Reports of a stream (course_id, body, arrived), one per course and content within the delay."""
-    readable = documents.where(F.try_parse_json("body").isNotNull()).withColumn("checksum", checksum(F.col("body")))
-    fresh = readable.withWatermark("arrived", delay).dropDuplicatesWithinWatermark(["course_id", "checksum"])
+    """Reports of a stream (course_id, body, arrived), one per course and content within the delay.
+
+    A document that is no JSON is reported as in a batch, with its finding at the root.
+    """
+    summed = documents.withColumn("checksum", checksum(F.col("body")))
+    fresh = summed.withWatermark("arrived", delay).dropDuplicatesWithinWatermark(["course_id", "checksum"])
     return report(validate(fresh, **options), "course_id", "checksum", "arrived")
 
 

@@ -85,3 +85,19 @@ def test_saved_files_and_tables_round_trip(spark, tmp_path):
     frame = spark.createDataFrame([("a", "market", '{"x":1}'), ("a", "profile", "[]")], "course_id string, section string, payload string")
     path = W.write(frame, str(tmp_path), "sections", "2024-01-31")
     assert [r["section"] for r in W.sections(spark, path, course_id="a").collect()] == ["market"]
+
+
+def test_checksum_tells_written_numbers_and_signs_apart(spark):
+    import hashlib
+    import json
+
+    bodies = ['{"b": 4.0, "a": "\u20b9 5"}', '{"b":4,"a":"\u20b9 5"}', '{"x": ["1.50", -2.50, 1e5, "a \\"4.0, 5"], "y": null, "\U0001f600": true}', "{oops"]
+    texts = [json.dumps(json.loads(b), sort_keys=True, separators=(",", ":")).replace("100000.0", "1e5") if b != "{oops" else b for b in bodies]
+    rows = spark.createDataFrame(list(enumerate(bodies)), "n int, body string").select("n", P.checksum(F.col("body"))).collect()
+    assert dict(map(tuple, rows)) == {n: hashlib.sha1(t.encode()).hexdigest()[:16] for n, t in enumerate(texts)}
+
+
+def test_remote_id_reads_keys_not_joined_paths(spark):
+    rows = ['{"data.id":"x"}', '{"data":{"id":7}}', '{"id":null,"uuid":"u"}', '{"data":{"data":{"course_id":"c"}}}', "no", '[{"id":1}]']
+    frame = spark.createDataFrame([(b,) for b in rows], "body string").select(P.remote_id(F.col("body")).alias("id"))
+    assert [r["id"] for r in frame.collect()] == [None, "7", "u", "c", None, None]
