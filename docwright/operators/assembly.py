@@ -8,6 +8,7 @@ from docwright.constants import CONTEXT_KEYS, MAX_TAUGHT_YEARS, SECTIONS
 from docwright.functions import text as T
 from docwright.functions.numbers import half_even
 from docwright.functions.variants import as_object
+from docwright.operators.domains import DEFAULT
 from docwright.schema import DOCUMENT
 
 
@@ -150,11 +151,18 @@ def request_plan(courses: DataFrame, resolved_domains: DataFrame, currency: str,
     """One request row per course and section.
 
     courses has course_id, course_name, discipline, duration; resolved_domains
-    has (discipline, section, domains), one row per key of the registry.
+    has (discipline, section, domains), one row per key of the registry. A course
+    whose discipline has no key, or none at all, gets those of the default key.
+    Domains are folded to one row per discipline first, so courses are joined
+    before they are multiplied by sections.
     """
+    folded = resolved_domains.groupBy("discipline").agg(
+        F.map_from_entries(F.collect_list(F.struct("section", "domains"))).alias("own"))  # at most a section's cap for each section
+    default = folded.where(F.col("discipline") == DEFAULT).select("own").scalar()
     keys = F.create_map(*[x for s, names in SECTIONS.items() for x in (F.lit(s), F.lit(", ".join(names)))])
-    rows = courses.select("*", F.explode(F.array(*[F.lit(s) for s in SECTIONS])).alias("section"))
-    return rows.join(resolved_domains, ["discipline", "section"], "left").select(
+    joined = courses.join(folded, "discipline", "left").withColumn("own", F.coalesce("own", default))
+    rows = joined.select("*", F.explode(F.array(*[F.lit(s) for s in SECTIONS])).alias("section"))
+    return rows.withColumn("domains", F.try_element_at("own", F.col("section"))).select(
         "course_id", "course_name", "section", "discipline",
         F.lit(currency).alias("currency"), F.lit(region).alias("region"),
         keys[F.col("section")].alias("wanted_keys"),

@@ -37,6 +37,7 @@ def declared(rules: DataFrame) -> DataFrame:
 def cascade(rules: DataFrame, fallback=()) -> DataFrame:
     """Every declared discipline and section with its domains, first place each.
 
+    The key `default` holds what a discipline without entries of its own gets.
     Layers: 1 own section, 2 own _all, 3 default section, 4 default _all, 6 fallback.
     A domain keeps the most specific place it is listed at.
     """
@@ -47,7 +48,8 @@ def cascade(rules: DataFrame, fallback=()) -> DataFrame:
         "discipline", F.explode(every_section).alias("to_section"), "pos", "domain",
         (F.when(own, 1).otherwise(3) + F.when(F.col("section") == ALL, 1).otherwise(0)).alias("layer"),
     ).withColumnRenamed("to_section", "section")
-    disciplines = declared(rules).select("discipline", F.explode(_sections()).alias("section"))
+    named = declared(rules).unionByName(rules.sparkSession.range(1).select(F.lit(DEFAULT).alias("discipline")))
+    disciplines = named.select("discipline", F.explode(_sections()).alias("section"))
     inherited = disciplines.join(spread.where(~own).drop("discipline"), "section").select(
         *KEY, "pos", "domain", "layer")
     layers = spread.where(own).unionByName(inherited)
@@ -94,8 +96,10 @@ def resolved(capped_domains: DataFrame) -> DataFrame:
     )
 
 
-def report(capped_domains: DataFrame) -> DataFrame:
-    return capped_domains.groupBy(*KEY).agg(
+def report(capped_domains: DataFrame, rules: DataFrame) -> DataFrame:
+    """One row per declared discipline and section, those that got no domain too."""
+    keys = declared(rules).select("discipline", F.explode(_sections()).alias("section"))
+    return keys.join(capped_domains, list(KEY), "left").groupBy(*KEY).agg(
         F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("dropped")
     ).withColumn("status", F.when((F.col("dropped") > 0) | (F.col("kept") == 0), "warn").otherwise("ok"))
 

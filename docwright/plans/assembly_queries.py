@@ -190,7 +190,7 @@ plan AS (SELECT course_id, v.section, wanted, CAST(coalesce(n, -1) AS INTEGER) A
       WHEN v.section = 'academics' THEN '- The course runs ' || pin || ' to ' || pin || '.5 years with ' || pin || ' taught years: give exactly ' || pin || ' curriculum entries.' END AS constraint_line
   FROM (SELECT *, CASE WHEN course_name LIKE '%ring%' THEN 3 WHEN course_name LIKE 'small%' THEN 4 END AS pin FROM e)
   CROSS JOIN (VALUES {", ".join(f"('{s}', '{', '.join(names)}')" for s, names in SECTIONS.items())}) v(section, wanted)
-  LEFT JOIN dom ON dom.discipline = e_discipline(discipline) AND dom.section = v.section)""".replace("e_discipline(discipline)", '"unnamed_subquery".discipline')
+  LEFT JOIN dom ON dom.discipline = CASE WHEN e_discipline(discipline) IN (SELECT discipline FROM dom) THEN e_discipline(discipline) ELSE 'default' END AND dom.section = v.section)""".replace("e_discipline(discipline)", '"unnamed_subquery".discipline')
 _PLAN = _PLAN.replace("THEN 4 END AS pin FROM e)", "THEN 4 END AS pin FROM e) en").replace('"unnamed_subquery".discipline', "en.discipline")
 
 

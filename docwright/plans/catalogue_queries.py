@@ -236,7 +236,7 @@ _HOST = r"regexp_extract(lower(url), '^[a-z]+://(?:www\.)?([^/?#:]*)', 1)"
 _RULES = f"""rules AS (SELECT {_PICK(DISCIPLINES, 'page_id % 7')} AS discipline, {_PICK(GROUPS, '(page_id // 7) % 7')} AS section, page_id AS pos,
   CASE WHEN page_id % 5 = 0 THEN '-' ELSE '' END || 'p' || (page_id % 3) || '.' || {_HOST} AS domain FROM pages)"""
 _CASCADE = f"""{_RULES}, first AS (SELECT discipline, section, domain, min(pos) AS pos FROM rules GROUP BY ALL),
-secs AS (SELECT unnest({list(SECTIONS)}) AS section), discs AS (SELECT DISTINCT discipline FROM rules WHERE discipline <> 'default'),
+secs AS (SELECT unnest({list(SECTIONS)}) AS section), discs AS (SELECT discipline FROM rules UNION SELECT 'default'),
 layers AS (SELECT d.discipline, s.section, f.domain, f.pos,
     CASE WHEN f.discipline = 'default' THEN 3 ELSE 1 END + CASE WHEN f.section = '_all' THEN 1 ELSE 0 END AS layer
   FROM discs d CROSS JOIN secs s JOIN first f ON f.discipline IN (d.discipline, 'default') AND f.section IN (s.section, '_all')
@@ -335,9 +335,10 @@ def allowlist(spark, sf):
 
 
 @query("domain_report", f"""WITH {_CASCADE} SELECT discipline, section, count(*) FILTER (kept) AS kept, count(*) FILTER (NOT kept) AS dropped,
-  CASE WHEN count(*) FILTER (NOT kept) > 0 OR count(*) FILTER (kept) = 0 THEN 'warn' ELSE 'ok' END AS status FROM cap GROUP BY discipline, section""")
+  CASE WHEN count(*) FILTER (NOT kept) > 0 OR count(*) FILTER (kept) = 0 THEN 'warn' ELSE 'ok' END AS status
+  FROM discs CROSS JOIN secs LEFT JOIN cap USING (discipline, section) WHERE discipline <> 'default' GROUP BY discipline, section""")
 def domain_report(spark, sf):
-    return D.report(D.capped(remaining(spark, sf)))
+    return D.report(D.capped(remaining(spark, sf)), rules(spark, sf))
 
 
 @query("declared_disciplines", f"WITH {_RULES} SELECT DISTINCT discipline FROM rules WHERE discipline <> 'default'")
