@@ -6,9 +6,9 @@
    always. At a similarity of 0.85 a symbol differs with probability 0.15; more than 25 of 64 differ in under one of 10**7
    such pairs, and in fewer the more alike the texts are.
 3. In a bucket every class is paired with the bucket's first one only. Pairs under the distance are confirmed on full sets.
-   Where a bucket still holds several components, the classes that share buckets form a cluster, which is compared in blocks:
-   its pairs of different components under the distance are confirmed inside the tasks, and only links that join components
-   come out. So no group is expanded into all its pairs, and no link is lost.
+   Where a bucket still holds several components, the classes of all such buckets with the same first class form a cluster,
+   which is compared in blocks: its pairs of different components under the distance are confirmed inside the tasks, and only
+   links that join components come out. So no group is expanded into all its pairs, and no link is lost.
 4. Components come from alternating large-star and small-star steps over the confirmed links.
 """
 
@@ -168,12 +168,12 @@ def _confirmed(documents: DataFrame, classes: DataFrame, pairs: DataFrame, perce
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of undirected edges (a, b): the smallest node reachable. Links stay in tables; only two numbers reach the driver."""
-    edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "links")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         large = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
@@ -216,11 +216,11 @@ def _joining_links(percent: int):
 
 def _linked_in_blocks(documents: DataFrame, classes: DataFrame, apart: DataFrame, percent: int) -> DataFrame:
     """Clusters are cut into blocks of about BLOCK_CLASSES, and each two blocks are one group: none is larger, however hot a bucket."""
-    first = apart.groupBy("bucket").agg(F.min("class_id").alias("b"))
-    clusters = components(apart.join(first, "bucket").select(F.col("class_id").alias("a"), "b")).select(F.col("node").alias("class_id"), F.col("component").alias("cluster"))
-    nodes = apart.select("class_id", "component").distinct().join(clusters, "class_id").join(classes.select("class_id", "n_shingles", "signature"), "class_id")
+    first = apart.groupBy("bucket").agg(F.min("class_id").alias("cluster"))
+    members = stored(apart.join(first, "bucket").select("cluster", "class_id", "component").distinct(), "near-clusters")
+    nodes = members.join(classes.select("class_id", "n_shingles", "signature"), "class_id")
     nodes = nodes.join(_sets(documents, classes, apart.select("class_id").distinct()), "class_id")
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES).alias("blocks"))
+    sizes = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES).alias("blocks"))
     dealt = nodes.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     return dealt.select(
