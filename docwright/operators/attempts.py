@@ -123,8 +123,11 @@ def retry_triage(log: DataFrame, max_retries: int = 4, base: float = 2.0, max_de
     })
 
 
-def review_items(reduced: DataFrame, attempts: DataFrame) -> DataFrame:
-    """Courses with a section that was not accepted: sections, attempts map and error codes.
+def review_items(reduced: DataFrame, attempts: DataFrame, runs: DataFrame) -> DataFrame:
+    """Courses that are not validated: their open sections, attempts map and error codes.
+
+    runs is the course status, with the flagged_sections it was stored with, if any: they count where every section was accepted
+    but the document failed.
 
     Codes are made distinct per course before they are collected, so a list is
     never longer than the number of codes there are.
@@ -133,7 +136,10 @@ def review_items(reduced: DataFrame, attempts: DataFrame) -> DataFrame:
     grouped = reduced.groupBy("course_id").agg(
         F.array_sort(F.collect_list(ordered)).alias("every"),
         F.array_sort(F.collect_list(F.when(F.col("status") != "accepted", ordered))).alias("open"),
-    ).where(F.size("open") > 0)
+    )
+    stored = F.col("flagged_sections") if "flagged_sections" in runs.columns else F.array().cast("array<string>")
+    open_runs = runs.where(F.col("status") != "validated").select("course_id", stored.alias("stored"))
+    grouped = grouped.join(open_runs, "course_id")
     bad = reduced.where(F.col("status") != "accepted").select(*KEY)
     codes = (
         attempts.where(~F.col("passed") & F.col("code").isNotNull()).join(bad, list(KEY), "left_semi")
@@ -143,7 +149,7 @@ def review_items(reduced: DataFrame, attempts: DataFrame) -> DataFrame:
     )
     return grouped.join(codes, "course_id", "left").select(
         "course_id",
-        F.transform("open", lambda x: x["section"]).alias("flagged_sections"),
+        F.when(F.size("open") > 0, F.transform("open", lambda x: x["section"])).otherwise(F.coalesce("stored", F.array().cast("array<string>"))).alias("flagged_sections"),
         F.map_from_entries(F.transform("every", lambda x: F.struct(x["section"], x["attempts"]))).alias("attempts"),
         F.coalesce(F.transform("codes", lambda x: x["code"]), F.array().cast("array<string>")).alias("codes"),
     )

@@ -160,9 +160,9 @@ def retry_triage(spark, sf):
     return A.retry_triage(log).select("event_id", "decision", "wait")
 
 
-_ITEMS = """items AS (SELECT course_id, array_to_string(list(section ORDER BY rank) FILTER (status <> 'accepted'), '|') AS flagged_sections,
-  count(*) FILTER (status <> 'accepted') AS requests, array_to_string(list(section || '=' || attempts ORDER BY rank), '|') AS attempts
-  FROM o GROUP BY course_id HAVING bool_or(status <> 'accepted')),
+_ITEMS = _RUNS + """, items AS (SELECT course_id, coalesce(array_to_string(list(section ORDER BY rank) FILTER (o.status <> 'accepted'), '|'), '') AS flagged_sections,
+  count(*) FILTER (o.status <> 'accepted') AS requests, array_to_string(list(section || '=' || o.attempts ORDER BY rank), '|') AS attempts
+  FROM o JOIN runs r USING (course_id) WHERE r.status <> 'validated' GROUP BY course_id),
 codes AS (SELECT course_id, array_to_string(list(code ORDER BY r, a, code), '|') AS codes FROM (
   SELECT att.course_id, code, min(att.rank * 10 + attempt) // 10 AS r, min(att.rank * 10 + attempt) % 10 AS a FROM att JOIN o USING (course_id, section)
   WHERE NOT passed AND status <> 'accepted' GROUP BY ALL) GROUP BY course_id)"""
@@ -170,7 +170,7 @@ codes AS (SELECT course_id, array_to_string(list(code ORDER BY r, a, code), '|')
 
 def items(spark, sf):
     log = attempts(spark, sf)
-    return A.review_items(A.outcomes(log), log)
+    return A.review_items(A.outcomes(log), log, runs(spark, sf))
 
 
 def _attempt_text(c):
@@ -236,7 +236,7 @@ def review_scan(spark, sf):
 
 def queue(spark, sf):
     run_files, _, reviews = saved_files(spark, sf)
-    pick = ("course_id", "path", "status", "payload")
+    pick = ("course_id", "course_name", "path", "status", "payload")
     return B.review_queue(J.runs(reviews).select(*pick), J.runs(run_files).select(*pick))
 
 
