@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from docwright.constants import SECTIONS
+from docwright.constants import FEEDBACK_LIMIT, SECTIONS
 from docwright.functions.arrays import unnest
 from docwright.functions.variants import nesting_depth, string_leaves
 from docwright.operators import report as P
@@ -112,7 +112,7 @@ _FEEDBACK = ("duration_ordering", "comparison_anchor", "career_route_mix", "recr
 
 
 @query("feedback_lines", Q.with_("dd", f"""
-  SELECT course_id, array_to_string((list(line ORDER BY r, pos, j))[1:4], '|') AS feedback FROM (
+  SELECT course_id, array_to_string((list(line ORDER BY r, pos, j))[1:{FEEDBACK_LIMIT}], '|') AS feedback FROM (
     SELECT k, course_id, 1 AS r, 0 AS pos, 0 AS j, '- quick_facts.typical_duration: min_years ' || ymin || ' is above max_years ' || ymax AS line
       FROM dd WHERE ymin > ymax
     UNION ALL SELECT k, course_id, 2, pos, j, '- ' || path || ': subject is listed before: ' || subject FROM (
@@ -121,6 +121,9 @@ _FEEDBACK = ("duration_ordering", "comparison_anchor", "career_route_mix", "recr
         CASE j WHEN 0 THEN p_name WHEN 1 THEN p_name || ' laboratory' WHEN 2 THEN p_type || ' theory ' || slot
           ELSE 'Project ' || (pk % 10) END AS subject
         FROM nl JOIN dd d ON d.k = nl.k CROSS JOIN range(0, 4) r(j))) WHERE nth > 1
+    UNION ALL SELECT k, course_id, 1.5, 0, 0, '- curriculum.years: years do not run 1, 2, 3 ...: ' || years FROM (
+      SELECT d.k, d.course_id, '[' || string_agg({Q.STEP}, ',' ORDER BY pos) || ']' AS years, bool_or({Q.STEP} <> pos + 1) AS wrong
+      FROM nl JOIN dd d ON d.k = nl.k GROUP BY ALL) WHERE wrong
     UNION ALL SELECT k, course_id, 3, 0, 0, '- careers: a career title appears twice' FROM {Q._BY.format(agg="count(DISTINCT p_name) < count(*) AS again")} WHERE again
     UNION ALL SELECT k, course_id, 4, 0, 0, '- recruiters: an organisation appears twice' FROM {Q._BY.format(agg="count(DISTINCT s_name) < count(*) AS again")} WHERE again)
   GROUP BY course_id"""))
@@ -128,9 +131,7 @@ def feedback_lines(spark, sf):
     docs = V.typed_documents(spark, sf, ("quick_facts", "curriculum", "careers", "recruiters"))
     rules = R.subset("duration_ordering", "curriculum_years", "career_route_mix", "recruiter_initials")
     found = P._sourced(R.rule_findings(F.col("doc"), R.Context(), rules), "rule")
-    # The first four lines; year order findings are left to year_sequence.
-    kept = docs.select("course_id", F.filter(found, lambda f: f["code"] != "curriculum_years_not_sequential").alias("findings"))
-    lines = kept.select("course_id", P.feedback_lines(F.col("findings"), 4).alias("lines"))
+    lines = docs.select("course_id", P.feedback_lines(found).alias("lines"))
     return lines.select("course_id", F.nullif(F.array_join("lines", "|"), F.lit("")).alias("feedback")).where(
         F.col("feedback").isNotNull())
 
