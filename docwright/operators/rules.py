@@ -452,6 +452,18 @@ def skipped_rules(d: Column, rules=ALL_RULES, present: Column | None = None) ->
 def _gate(d: Column, rule: Rule, present: Column | None):
     gate = None
     for name in rule.requires:
-        test = d[name].isNotNull() if present is None else F.array_contains(present, name)
+        test = _there(d, name, present)
         gate = test if gate is None else gate & test
     return gate
+
+
+def _there(d: Column, path: str, present: Column | None) -> Column:
+    """Whether a dotted path is there. Below the root, a null value counts as absent."""
+    root, *rest = path.split(".")
+    value = d[root]
+    for name in rest:
+        value = value[name]
+    if present is None:
+        return value.isNotNull()
+    listed = F.array_contains(present, root)
+    return listed & value.isNotNull() if rest else listed

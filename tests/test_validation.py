@@ -121,3 +121,17 @@ def test_feedback_and_sections(spark, checked):
     frame = spark.createDataFrame([(row["findings"],)], f"findings array<{P.FINDING}>")
     out = frame.select(P.feedback_lines(F.col("findings")).alias("lines"), P.failing_sections(F.col("findings")).alias("s")).first()
     assert out["lines"][0].startswith("- colleges.items: ") and out["s"] == ["market"]
+
+
+def test_gates_walk_dotted_paths(spark):
+    import dataclasses
+
+    from docwright.operators import rules as R
+    from docwright.operators.report import validate
+
+    rule = dataclasses.replace(R.subset("salary_ordering")[0], requires=("quick_facts.typical_duration",))
+    whole, bare = good(), good()
+    del bare["quick_facts"]["typical_duration"]
+    frame = spark.createDataFrame([(1, json.dumps(whole)), (2, json.dumps(bare))], "n int, body string")
+    got = {r["n"]: r["skipped_rules"] for r in validate(frame, rules=(rule,), structural=False).select("n", "skipped_rules").collect()}
+    assert got == {1: [], 2: ["salary_ordering"]}
