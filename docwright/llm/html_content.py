@@ -4,7 +4,8 @@ A page is a row of words, which score positive, and tags, which score negative;
 one linear scan, is the article. The weights come from labelled pages, those that mark their article by an element of their own:
 a tag costs the more, the less of its occurrences lie inside the marked parts, and words of links count as far as they lie
 inside. Menus, headers, footers, sidebars, notices, adverts, forms and comments, told by element, role, class or id, are left out
-of the text wherever they stand. Where a page marks its article, words outside the mark score negative.
+of the text wherever they stand. The mark of a page serves to learn only: all pages are read by the learned weights, as a mark may
+hold no more than a teaser or a short lead.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ ASIDE_NAMES = frozenset(
     "ad ads advert adverts advertisement adsense advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs header masthead footer "
     "sidebar aside widget related recommended comment comments commentlist disqus reply replies respond cookie cookies consent gdpr notice notices alert popup modal "
     "overlay newsletter subscribe subscription signup login social share sharing toolbar pagination pager skip copyright".split())
-DEFAULT_TAG, FLOOR, OUTSIDE, SCALES = -3.25, -0.02, -1.0, (0.5, 1.0, 2.0, 3.25, 6.0)
+DEFAULT_TAG, FLOOR, SCALES = -3.25, -0.02, (0.5, 1.0, 2.0, 3.25, 6.0)
 
 
 class Page:
@@ -104,16 +105,14 @@ class Page:
                 roles.add("hidden")
         return names, roles
 
-    def best(self, weights: dict[str, float], use_mark: bool = True) -> tuple[int, int]:
+    def best(self, weights: dict[str, float]) -> tuple[int, int]:
         """Start and end of the items of greatest sum; the first and shortest of equal ones; nothing if no sum is positive."""
         best, total, start, found = 0.0, 0.0, 0, (0, 0)
-        for at, (kind, words, _, _, marked, out) in enumerate(self.items):
+        for at, (kind, words, _, _, _, out) in enumerate(self.items):
             if total <= 0:
                 total, start = 0.0, at
             if kind in ("word", "link"):
-                value = 0.0 if out else words * (weights.get(kind, 1.0) if not self.marked or not use_mark else 1.0 if marked else OUTSIDE)
-            elif use_mark and self.marked:
-                value = FLOOR if marked else DEFAULT_TAG
+                value = 0.0 if out else words * weights.get(kind, 1.0)
             else:
                 value = weights.get(kind, DEFAULT_TAG)
             total += value
@@ -145,7 +144,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _judged(trials: list[dict[str, float]]):
-    """For each set of weights, the words that the scan without marks gets right, takes wrongly and misses on labelled pages."""
+    """For each set of weights, the words that the scan gets right, takes wrongly and misses on labelled pages."""
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = [[0, 0, 0] for _ in trials]
         for part in slices(batches, "html"):
@@ -154,7 +153,7 @@ def _judged(trials: list[dict[str, float]]):
                 if not page.marked:
                     continue
                 for k, weights in enumerate(trials):
-                    a, b = page.best(weights, use_mark=False)
+                    a, b = page.best(weights)
                     for at, (_, words, _, _, marked, out) in enumerate(page.items):
                         if words and not out:
                             taken = a <= at < b

@@ -96,6 +96,14 @@ def test_real_pages_give_the_marked_article_with_and_without_the_mark(spark):
             assert page.text(*page.best(weights)) == expected
 
 
+def test_a_marked_teaser_does_not_hide_the_main_text(spark):
+    given = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
+    main = "".join(f"<p>Paragraph {n} of the main text with a good many words in plain divisions.</p>" for n in range(12))
+    page = f"<html><body><article><p>Short teaser.</p></article><nav>Menu</nav><div><div>{main}</div></div><footer>end</footer></body></html>"
+    got = html_content.extract(given.unionByName(spark.createDataFrame([(-1, "u", page)], "page_id long, url string, html string"))).where("page_id = -1").first()["text"]
+    assert all(f"Paragraph {n} of the main text" in got for n in range(12)) and "Menu" not in got
+
+
 def test_neighbours_recall_and_scores(spark):
     frame = spark.read.parquet(f"{SF}/embeddings.parquet")
     rows = {r["vec_id"]: np.array(r["embedding"], dtype=float) for r in frame.collect()}
