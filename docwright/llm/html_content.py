@@ -4,8 +4,9 @@ A page is a row of words, which score positive, and tags, which score negative;
 one linear scan, is the article. The weights come from labelled pages, those that mark their article by an element of their own:
 a tag costs the more, the less of its occurrences lie inside the marked parts, and words of links count as far as they lie
 inside. Menus, headers, footers, sidebars, notices, adverts, forms and comments, told by element, role, class or id, are left out
-of the text wherever they stand. The mark of a page serves to learn only: all pages are read by the learned weights, as a mark may
-hold no more than a teaser or a short lead.
+of the text wherever they stand. A class or id tells one by its whole name or last part, and not where the element holds the page's
+article or main, or other blocks with most of its words, or all of them: then it is a wrapper of the layout. The mark of a page
+serves to learn only: all pages are read by the learned weights, as a mark may hold no more than a teaser or a short lead.
 """
 
 from __future__ import annotations
@@ -42,22 +43,35 @@ ASIDE_NAMES = frozenset(
     "ad ads advert adverts advertisement adsense advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs header masthead footer "
     "sidebar aside widget related recommended comment comments commentlist disqus reply replies respond cookie cookies consent gdpr notice notices alert popup modal "
     "overlay newsletter subscribe subscription signup login social share sharing toolbar pagination pager skip copyright".split())
+#: Last parts of names that say nothing of the content, and first parts that speak of the state of a layout.
+NEUTRAL = frozenset("area bar bottom box buttons container content inner left links list right slot top unit wrap wrapper".split())
+STATES = frozenset("has no not with without is hide show".split())
 DEFAULT_TAG, FLOOR, SCALES = -3.25, -0.02, (0.5, 1.0, 2.0, 3.25, 6.0)
 
 
+def _aside_name(name: str) -> bool:
+    parts = _NAME.findall(name)
+    while len(parts) > 1 and parts[-1] in NEUTRAL:
+        parts.pop()
+    return bool(parts) and parts[-1] in ASIDE_NAMES and not STATES.intersection(parts[:-1])
+
+
 class Page:
     """What the scan needs: items (kind, weight class, text, block, inside the mark, left out), in page order."""
 
     def __init__(self, source: str) -> None:
         self.items: list[tuple[str, int, str, int, bool, bool]] = []  # class, words, text, block, marked, left out
         stack: list[str] = []
-        aside = mark = link = None  # depth of the element that began it
-        block, self.marked = 0, False
+        aside = mark = link = article = None  # depth of the element that began it
+        block, self.marked, shown = 0, False, 0
+        named: list[list] = []  # open elements with the name of an aside: depth, first item, words before, holds article or main, block
+        closed_named: list[tuple[int, int, int, bool]] = []  # first item, end, words, holds other blocks
         for token in _TOKEN.finditer(source):
             text, tag = token["text"], token["tag"]
             if text is not None:
                 text = html.unescape(text)
                 words = len(text.split())
+                shown += words if aside is None else 0
                 self.items.append(("link" if link is not None else "word", words, text, block, mark is not None, aside is not None))
                 continue
             if tag is None:
@@ -79,26 +93,49 @@ class Page:
                 if tag in BLOCK and tag != "p" and stack and stack[-1] == "p":
                     stack.pop()
             depth = len(stack)
-            aside, mark, link = (d if d is not None and d < depth else None for d in (aside, mark, link))
+            aside, mark, link, article = (d if d is not None and d < depth else None for d in (aside, mark, link, article))
+            while named and named[-1][0] >= depth:
+                self._close(named.pop(), block - (end != "" and tag in BLOCK), shown, closed_named)
             self.items.append((tag, 0, "", block, mark is not None, aside is not None))
             if end or tag in VOID or token["rest"].endswith("/"):
                 continue
             stack.append(tag)
             names, roles = self._names(token["rest"])
-            if aside is None and (tag in ASIDE or roles & ASIDE_ROLES or "hidden" in roles or tag not in ("html", "body", "main", "article") and names & ASIDE_NAMES):
+            if aside is None and (tag in ASIDE or roles & ASIDE_ROLES or "hidden" in roles):
                 aside = depth
-            if mark is None and aside is None and (tag in ("article", "main") or "main" in roles or "articlebody" in roles):
-                mark, self.marked = depth, True
+            if aside is None and (tag == "main" or "main" in roles or "articlebody" in roles or tag == "article" and article is None and not names):
+                for wrapper in named:
+                    wrapper[3] = True
+                if mark is None:
+                    mark, self.marked = depth, True
+            if article is None and tag == "article":
+                article = depth
+            if aside is None and names and tag not in ("html", "body", "main"):
+                named.append([depth, len(self.items), shown, False, block])
             if link is None and tag == "a":
                 link = depth
+        for element in named:
+            self._close(element, block, shown, closed_named)
+        end = 0
+        for first, last, words, wraps in sorted(closed_named):
+            if 2 * words <= shown or not wraps and words < shown:
+                for at in range(max(first, end), last):
+                    self.items[at] = (*self.items[at][:4], False, True)
+                end = max(end, last)
+
+    def _close(self, element: list, block: int, shown: int, closed: list[tuple[int, int, int, bool]]) -> None:
+        _, first, before, holds, own = element
+        if not holds:
+            closed.append((first, len(self.items), shown - before, block > own))
 
     @staticmethod
-    def _names(rest: str) -> tuple[set[str], set[str]]:
-        names, roles = set(), set()
+    def _names(rest: str) -> tuple[bool, set[str]]:
+        """Whether a class or the id is the name of an aside; the roles."""
+        names, roles = False, set()
         for key, value in _ATTRIBUTE.findall(rest) if rest else ():
             key, value = key.lower(), value.strip("\"'").lower()
             if key in ("class", "id"):
-                names.update(_NAME.findall(value))
+                names = names or any(map(_aside_name, value.split()))
             elif key in ("role", "itemprop"):
                 roles.add(value)
             elif key == "hidden" or value == "true":

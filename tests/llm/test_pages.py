@@ -104,6 +104,24 @@ def test_a_marked_teaser_does_not_hide_the_main_text(spark):
     assert all(f"Paragraph {n} of the main text" in got for n in range(12)) and "Menu" not in got
 
 
+@pytest.mark.parametrize("attribute", ["class='page has-sidebar'", "id='content' class='no-comments'", "class='nav-open wrapper'", "class='post-header'", "class='widget'"])
+def test_layout_wrappers_keep_their_content(attribute):
+    text = "<p>Main text of the page.</p>" * 20
+    for inner in (f"<article>{text}</article>", f"<main><div class='widget'><article>{text}</article></div></main>", f"<div>{text}</div>"):
+        aside = "<div class='post-comments'>A comment</div><div id='sidebar'>Side</div><ul class='related'><li>Other</li></ul>"
+        page = html_content.Page(f"<body><nav>Menu</nav><div {attribute}>{inner}{aside}</div></body>")
+        assert page.text(0, len(page.items)) == "\n".join(["Main text of the page."] * 20)
+        assert page.marked == ("<article>" in inner)
+    both = html_content.Page(f"<div {attribute}><article>Short article.</article></div><div>{text}</div>")
+    assert "Short article." in both.text(0, len(both.items)) and both.marked
+
+
+def test_comments_as_articles_are_left_out():
+    comments = "<section class='comments-area'><ol><li class='comment'><article id='div-comment-2' class='comment-body'><p>I say</p></article></li></ol></section>"
+    page = html_content.Page(f"<main><article><p>Main text of the page, long enough.</p>{comments}</article></main>")
+    assert page.text(0, len(page.items)) == "Main text of the page, long enough."
+
+
 def test_neighbours_recall_and_scores(spark):
     frame = spark.read.parquet(f"{SF}/embeddings.parquet")
     rows = {r["vec_id"]: np.array(r["embedding"], dtype=float) for r in frame.collect()}
