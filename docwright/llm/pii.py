@@ -4,13 +4,16 @@
 2. These seeds induce lexical patterns: the word before a seed, with the seed's kind. The graph of patterns and instances is a
    table of edges; instances are the seeds and all other tokens that look like identifiers (an @, or five digits and more).
 3. A pattern's score is the weight of the instances after it over all occurrences of its word in the corpus; it counts when
-   enough different seeds support it. An unseen instance's score is the noisy-or of the patterns before it. Both are computed
-   in turn for a few rounds, so instances found by one pattern support others.
+   enough different instances support it, seeds or those accepted in the round before. An unseen instance's score is the
+   noisy-or of the patterns before it. Both are computed in turn, so accepted instances induce new patterns, for a few rounds
+   at least and on until a round brings no new pattern and scores stand still. They never fall, so this ends.
 4. Unseen instances of high score become spans wherever they stand. Spans of the base rules always stay.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +35,7 @@ _SPAN = "struct<kind:string,start:int,end:int,value:string,left:string>"
 CONTEXT_CHARS = 64
 BROADCAST_WORDS = 100_000
 MIN_SEEDS, MIN_SCORE, ROUNDS = 3, 0.5, 3
+STILL = 0.01  # rise of the sum of all scores of patterns below which a round without a new one is the last
 
 
 def _luhn(digits: Column) -> Column:
@@ -68,12 +72,14 @@ def _spans(text: Column, rule: str, kind: str, valid, core=None) -> Column:
         start = state["at"] + F.length(piece)
         value = core(match) if core else match
         first = start + (F.instr(match, value) - 1 if core else 0)
-        left = F.lower(F.regexp_extract(F.right(piece, F.lit(CONTEXT_CHARS)), r"(\S++)\s++$", 1))
+        before = F.right(F.concat(state["tail"], piece), F.lit(CONTEXT_CHARS))
+        left = F.lower(F.regexp_extract(F.concat(before, F.left(match, F.instr(match, value) - 1)) if core else before, r"(\S++)\s++$", 1))
         span = F.struct(F.lit(kind).alias("kind"), first.alias("start"), (first + F.length(value)).alias("end"), value.alias("value"), left.alias("left"))
         keep = F.when(valid(value), F.concat(state["list"], F.array(span.cast(_SPAN)))).otherwise(state["list"])
-        return F.when(match.isNull(), state).otherwise(F.struct((start + F.length(match)).alias("at"), keep.alias("list")))
+        return F.when(match.isNull(), state).otherwise(F.struct(
+            (start + F.length(match)).alias("at"), F.right(F.concat(before, match), F.lit(CONTEXT_CHARS)).alias("tail"), keep.alias("list")))
 
-    first = F.struct(F.lit(0).alias("at"), _none().alias("list"))
+    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), _none().alias("list"))
     return F.aggregate(pairs, first, add, lambda s: s["list"])
 
 
@@ -114,22 +120,22 @@ def discover(documents: DataFrame, scanned: DataFrame) -> DataFrame:
     """(value, kind): unseen identifiers of high score, with the kind that scores highest."""
     each = scanned.select(F.explode(F.concat("base", "unseen")).alias("s")).where("s.left <> ''")
     edges = stored(each.groupBy("s.left", "s.kind", "s.value").agg(F.count(F.lit(1)).alias("n")), "pii-edges")
-    seeds = edges.where("kind <> 'unseen'").groupBy("left", "kind").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("seeds"))
-    supported = seeds.where(F.col("seeds") >= MIN_SEEDS)
-    totals = word_counts(documents, supported.select("left").distinct())
-    patterns = stored(supported.join(totals, "left"), "pii-patterns")  # (left, kind, weight, seeds, total)
-    unseen = edges.where("kind = 'unseen'").select("left", "value", "n").join(patterns.select("left").distinct(), "left", "left_semi")
-    unseen = stored(unseen, "pii-unseen")
-    scores = None
-    for _ in range(ROUNDS):
-        scored = patterns.withColumn("more", F.lit(0.0))
-        if scores is not None:
-            more = unseen.join(scores, "value").groupBy("left", "kind").agg(F.sum(F.col("n") * F.col("score")).alias("more"))
-            scored = patterns.join(more, ["left", "kind"], "left")
-        scored = scored.select("left", "kind", F.least(F.lit(0.99), (F.col("weight") + F.coalesce("more", F.lit(0.0))) / F.col("total")).alias("p"))
+    seeds = edges.where("kind <> 'unseen'").select("left", "kind", "value", F.col("n").cast("double").alias("weight"))
+    possible = edges.groupBy("left").agg(F.count(F.lit(1)).alias("values")).where(F.col("values") >= MIN_SEEDS).select("left")
+    totals = stored(word_counts(documents, possible), "pii-totals")  # of all words that can become patterns in any round
+    seeds = stored(seeds.join(totals.select("left"), "left", "left_semi"), "pii-seeds")
+    unseen = stored(edges.where("kind = 'unseen'").select("left", "value", "n").join(totals.select("left"), "left", "left_semi"), "pii-unseen")
+    support, scores, passed, total = seeds, None, -1, 0.0
+    for turn in itertools.count(1):
+        patterns = support.groupBy("left", "kind").agg(F.sum("weight").alias("weight"), F.count_distinct("value").alias("support")).where(F.col("support") >= MIN_SEEDS)
+        scored = stored(patterns.join(totals, "left").select("left", "kind", F.least(F.lit(0.99), F.col("weight") / F.col("total")).alias("p")), "pii-patterns")
         good = scored.where(F.col("p") >= MIN_SCORE)
+        before, (passed, total) = (passed, total), scored.agg(F.count_if(F.col("p") >= MIN_SCORE), F.coalesce(F.sum("p"), F.lit(0.0))).first()
+        if turn > ROUNDS and passed == before[0] and total - before[1] < STILL:
+            break
         scores = stored(unseen.join(good, "left").groupBy("value", "kind").agg(
             (1 - F.exp(F.sum(F.log(1 - F.col("p"))))).alias("score")), "pii-scores")
+        support = seeds.unionByName(unseen.join(scores, "value").select("left", "kind", "value", (F.col("n") * F.col("score")).alias("weight")))
     return scores.groupBy("value").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))
 
 

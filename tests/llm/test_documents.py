@@ -272,6 +272,21 @@ def test_patterns_find_identifiers_that_no_rule_knows(spark):
     assert got[12] == [("email", 32, 40)] and got[13] == [("email", 6, 14)] and got[11] == [] and all(len(got[n]) == 1 for n in range(6))
 
 
+def test_found_identifiers_induce_patterns_of_their_own(spark):
+    texts = [f"mail person{n}@site.org" for n in range(24)] + [f"mail 5000{n}-00" for n in range(4)]
+    for level, word in enumerate(["ref", "case", "file", "code", "item"]):
+        texts += [f"{word} 5000{n}-0{level}" for n in range(4)] * 3 + [f"{word} 5000{n}-0{level + 1}" for n in range(4)]
+    texts += [f"unrelated 7000{n}-00" for n in range(5)] + ["alone 50001-05"]
+    got = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in got if not r["spans"]} == {n for n, t in enumerate(texts) if t.startswith("unrelated")}
+
+
+def test_the_word_before_comes_from_the_text(spark):
+    row = pii.scan(spark.createDataFrame([(1, "ref (77777-12) 88888-13 a@b.org c@d.org, 99999-14")], "doc_id long, text string")).first()
+    assert [(s["value"], s["left"]) for s in row["base"] + row["unseen"]] == [
+        ("a@b.org", "88888-13"), ("c@d.org", "a@b.org"), ("77777-12", ""), ("88888-13", "(77777-12)"), ("99999-14", "c@d.org,")]
+
+
 def test_shards_against_all_rows(documents, texts, odd, none):
     got = sharding.shard(documents, 8).collect()
     assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in got} == {k: (len(t.encode()) + 8, zlib.crc32(t.encode())) for k, t in texts.items()}
