@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docwright.llm import decontamination, html_content, language_model
 from docwright.llm import near_duplicates as near
-from docwright.llm import neighbours, packing, pii, quality, sharding, warc
+from docwright.llm import neighbours, packing, pii, quality, sharding, simhash, warc
 from docwright.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,8 @@ SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
     CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM bits JOIN m USING (h)
 """
+
+
+@query
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited_pairs(table(spark, sf_dir, "documents"))
