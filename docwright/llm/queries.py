@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docwright.llm import decontamination, html_content, language_model
+from docwright.llm import decontamination, html_content, infilling, language_model
 from docwright.llm import near_duplicates as near
 from docwright.llm import neighbours, packing, pii, quality, sharding, simhash, warc
 from docwright.llm.common import ship
@@ -125,3 +125,30 @@ FROM bits JOIN m USING (h)
 @query
 def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_pairs(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infilling.transform(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infilling.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+ORACLES["op13_infilling"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), u AS (
+    SELECT doc_id, t, regexp_extract_all(t, '[^\x0A]*\x0A|[^\x0A]+') AS u, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+        CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d
+), c AS (
+    SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u
+), p AS (
+    SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:n], '') AS suffix FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM p
+"""
