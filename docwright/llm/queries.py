@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docwright.llm import decontamination, html_content, infilling, language_model
+from docwright.llm import alignment, decontamination, html_content, infilling, language_model
 from docwright.llm import near_duplicates as near
 from docwright.llm import neighbours, packing, pii, quality, sharding, simhash, warc
 from docwright.llm.common import ship
@@ -29,11 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """The vocabulary file, which is installed beside the libraries on every machine."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -152,3 +152,8 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
     sha256(t) AS restored_sha256
 FROM p
 """
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))

@@ -69,17 +69,36 @@ def piece_starts(codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return start[:n]
 
 
+def byte_values(token: str, back: dict[str, int] | None = None) -> bytes:
+    """The bytes of a byte-level token, whose characters each stand for one byte."""
+    back = back or byte_characters()
+    return bytes(back[c] for c in token)
+
+
+@functools.cache
+def byte_characters() -> dict[str, int]:
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return {chr(b): b for b in plain} | {chr(0x100 + at): b for at, b in enumerate(b for b in range(256) if b not in set(plain))}
+
+
 class Coder:
     """Codes batches of texts; keeps the ids of pieces it has met, up to a bound on memory."""
 
+    cut = staticmethod(piece_starts)
+
     def __init__(self, path: str) -> None:
         import tiktoken
 
         vocabulary = json.loads(open(path, encoding="utf-8").read())["model"]["vocab"]
-        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        back = {chr(b): b for b in plain} | {chr(0x100 + at): b for at, b in enumerate(b for b in range(256) if b not in set(plain))}
-        ranks = {bytes(back[c] for c in token): rank for token, rank in vocabulary.items() if all(c in back for c in token) and not token.startswith("<|")}
-        self._bpe = tiktoken.Encoding("pieces", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+        back = byte_characters()
+        ranks = {byte_values(token, back): rank for token, rank in vocabulary.items() if all(c in back for c in token) and not token.startswith("<|")}
+        self.token_bytes = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.token_bytes[rank] = token
+        self._code = tiktoken.Encoding("pieces", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self._begin()
+
+    def _begin(self) -> None:
         self._known, self._at = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         self._ids, self._ends = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
 
@@ -90,7 +109,7 @@ class Coder:
         codes = np.frombuffer(whole.encode("utf-32-le"), dtype=np.uint32)
         before = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80))) if len(data) != len(codes) else None
         offsets = byte_offsets if before is None else before[byte_offsets]
-        starts = np.flatnonzero(piece_starts(codes, offsets))
+        starts = np.flatnonzero(self.cut(codes, offsets))
         if not len(starts):
             return np.zeros(0, dtype=np.uint32), np.zeros(len(offsets), dtype=np.int64)
         ends = np.append(starts[1:], len(codes))
@@ -104,8 +123,7 @@ class Coder:
         new = np.flatnonzero(~met)
         ids, borders = self._ids, self._ends
         if len(new):
-            encode = self._bpe.encode_ordinary
-            made = [encode(whole[a:b]) for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
+            made = [self._code(whole[a:b]) for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
             slot[new] = len(borders) - 1 + np.arange(len(new))
             ids = np.concatenate([ids, np.fromiter((i for piece in made for i in piece), dtype=np.uint32)])
             borders = np.concatenate([borders, borders[-1] + np.cumsum([len(piece) for piece in made])])
@@ -119,6 +137,42 @@ class Coder:
         return flat, total[np.searchsorted(starts, offsets)]
 
 
+def blank_starts(codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where a run of blanks begins, as flags over the code points of several texts."""
+    start = np.zeros(len(codes) + 1, dtype=bool)
+    start[offsets] = True
+    start = start[:len(codes)]
+    blank = (codes == 0x20) | (codes == 0x2581)  # one and the same for this vocabulary
+    start[1:] |= blank[1:] & ~blank[:-1]
+    return start
+
+
+class PieceCoder(Coder):
+    """Codes batches of texts that begin with a blank, by a piece vocabulary with byte fallback that would add that blank itself.
+
+    Its rule joins no character to a blank behind it, so texts are cut before each run of blanks, and what lies between is coded alone.
+    """
+
+    cut = staticmethod(blank_starts)
+
+    def __init__(self, path: str) -> None:
+        import sentencepiece
+
+        pieces = sentencepiece.SentencePieceProcessor(model_file=path)
+        names = [pieces.id_to_piece(i) for i in range(pieces.get_piece_size())]
+        if any("\u2581" in name.lstrip("\u2581") for name in names):
+            raise ValueError("this vocabulary has pieces across blanks")
+        self.token_bytes = [bytes([int(n[3:5], 16)]) if pieces.is_byte(i) else n.replace("\u2581", " ").encode() for i, n in enumerate(names)]
+        alone = [pieces.piece_to_id("\u2581")]
+        self._code = lambda piece: pieces.encode(piece[1:]) if len(piece) > 1 else alone
+        self._begin()
+
+
+@functools.cache
+def piece_coder(path: str) -> PieceCoder:
+    return PieceCoder(path)
+
+
 @functools.cache
 def coder(path: str) -> Coder:
     return Coder(path)
