@@ -120,6 +120,36 @@ def carried_context(document: Column) -> Column:
     return F.to_json(F.map_filter(as_object(document), lambda k, _: F.array_contains(wanted, k)))
 
 
+def contexts(base: DataFrame, sections: DataFrame, only: Column | None = None) -> DataFrame:
+    """(course_id, section, context): what each section of a course is told, as JSON text with sorted keys.
+
+    base has (course_id, fields), sections the accepted ones (course_id, section, payload). A section sees the injected fields under
+    what the sections before it gave, later ones over earlier ones, and nothing of itself or of those behind it. `only` is an array
+    of the sections that are made again: they see all stored sections that are not among them first, wherever those stand.
+    One shuffle, on the course; the prefixes are folded inside the row over the few carried keys.
+    """
+    carried = F.array(*[F.lit(k) for k in ("course_name", "region") + CONTEXT_KEYS])
+    chosen = F.array(*map(F.lit, SECTIONS)) if only is None else only
+    payloads = sections.groupBy("course_id").agg(*[
+        F.max(F.when(F.col("section") == s, F.col("payload"))).alias(f"_{s}") for s in SECTIONS])
+    told = lambda json: F.map_filter(as_object(F.try_parse_json(json)), lambda k, _: F.array_contains(carried, k))
+    # Carried keys only from here on; what is no object gives nothing.
+    parts = F.array(*[F.struct(F.lit(s).alias("section"), told(F.col(f"_{s}")).alias("given"), F.array_contains(F.col("_only"), s).alias("again")) for s in SECTIONS])
+    rows = base.select("course_id", told(F.col("fields")).alias("_base"), chosen.alias("_only")).join(payloads, "course_id", "left")
+    rows = rows.select("course_id", "_base", parts.alias("parts"))
+    stored = F.aggregate(
+        F.filter("parts", lambda p: ~p["again"] & p["given"].isNotNull()), F.col("_base"), lambda known, p: over(known, p["given"]))
+    empty = F.array().cast("array<struct<section:string,known:map<string,variant>>>")
+    folded = F.aggregate(
+        F.filter("parts", lambda p: p["again"]), F.struct(F.col("_known").alias("known"), empty.alias("seen")),
+        lambda acc, p: F.struct(
+            F.when(p["given"].isNull(), acc["known"]).otherwise(over(acc["known"], p["given"])).alias("known"),
+            F.array_append(acc["seen"], F.struct(p["section"].alias("section"), acc["known"].alias("known"))).alias("seen")),
+        lambda acc: acc["seen"])
+    seen = rows.withColumn("_known", stored).select("course_id", F.explode(folded).alias("s"))
+    return seen.select("course_id", "s.section", F.to_json(F.parse_json(F.to_json("s.known"))).alias("context"))
+
+
 def pin_fault(years: Column) -> Column:
     """A pinned number of years that the schema cannot hold."""
     return F.when(~years.between(1, MAX_TAUGHT_YEARS), "pin_outside_schema")
@@ -147,8 +177,8 @@ def constraint_lines(section: Column, duration: Column) -> Column:
     )
 
 
-def request_plan(courses: DataFrame, resolved_domains: DataFrame, currency: str, region: str) -> DataFrame:
-    """One request row per course and section.
+def request_plan(courses: DataFrame, resolved_domains: DataFrame, currency: str, region: str, told: DataFrame | None = None, recency: str = "") -> DataFrame:
+    """One request row per course and section, with the context of contexts() and how old a source may be ("" for any age).
 
     courses has course_id, course_name, discipline, duration; resolved_domains
     has (discipline, section, domains), one row per key of the registry. A course
@@ -162,8 +192,11 @@ def request_plan(courses: DataFrame, resolved_domains: DataFrame, currency: str,
     keys = F.create_map(*[x for s, names in SECTIONS.items() for x in (F.lit(s), F.lit(", ".join(names)))])
     joined = courses.join(folded, "discipline", "left").withColumn("own", F.coalesce("own", default))
     rows = joined.select("*", F.explode(F.array(*[F.lit(s) for s in SECTIONS])).alias("section"))
+    if told is not None:
+        rows = rows.join(told, ["course_id", "section"], "left")
     return rows.withColumn("domains", F.try_element_at("own", F.col("section"))).select(
-        "course_id", "course_name", "section", "discipline",
+        "course_id", "course_name", "section", "discipline", F.nullif(F.lit(recency), F.lit("")).alias("recency"),
+        *(["context"] if told is not None else []),
         F.lit(currency).alias("currency"), F.lit(region).alias("region"),
         keys[F.col("section")].alias("wanted_keys"),
         "domains", F.coalesce(F.size("domains") > 0, F.lit(False)).alias("search_filtered"),

@@ -34,12 +34,17 @@ def declared(rules: DataFrame) -> DataFrame:
     return rules.select("discipline").where(F.col("discipline") != DEFAULT).distinct()
 
 
-def cascade(rules: DataFrame, fallback=()) -> DataFrame:
+def _listed(domains) -> Column:
+    return T.normalize_domains(F.array(*[F.lit(d) for d in domains]).cast("array<string>"))
+
+
+def cascade(rules: DataFrame, fallback=(), built_in=None) -> DataFrame:
     """Every declared discipline and section with its domains, first place each.
 
     The key `default` holds what a discipline without entries of its own gets.
-    Layers: 1 own section, 2 own _all, 3 default section, 4 default _all, 6 fallback.
-    A domain keeps the most specific place it is listed at.
+    Layers: 1 own section, 2 own _all, 3 default section, 4 default _all, 5 the
+    section's built-in domains (a mapping by section), 6 fallback. A domain keeps
+    the most specific place it is listed at.
     """
     own = F.col("discipline") != DEFAULT
     every_section = F.when(F.col("section") == ALL, _sections()).otherwise(F.array("section"))
@@ -53,10 +58,14 @@ def cascade(rules: DataFrame, fallback=()) -> DataFrame:
     inherited = disciplines.join(spread.where(~own).drop("discipline"), "section").select(
         *KEY, "pos", "domain", "layer")
     layers = spread.where(own).unionByName(inherited)
-    if fallback:
-        listed = F.posexplode(T.normalize_domains(F.array(*[F.lit(d) for d in fallback]))).alias("pos", "domain")
-        layers = layers.unionByName(disciplines.select(*KEY, listed).select(
-            *KEY, F.col("pos").cast("bigint").alias("pos"), "domain", F.lit(6).alias("layer")))
+    # Lists of the configuration: constants of the plan, one lookup for each discipline and section.
+    constant = F.array(*[
+        F.struct(F.lit(section).alias("of"), F.lit(layer).alias("layer"), _listed(domains).alias("domains"))
+        for section, layer, domains in [*((s, 5, d) for s, d in (built_in or {}).items()), (ALL, 6, fallback)] if domains])
+    if fallback or any((built_in or {}).values()):
+        own_lists = F.filter(constant, lambda c: c["of"].isin(ALL) | (c["of"] == F.col("section")))
+        listed = disciplines.select(*KEY, F.explode(own_lists).alias("c")).select(*KEY, "c.layer", F.posexplode("c.domains").alias("pos", "domain"))
+        layers = layers.unionByName(listed.select(*KEY, F.col("pos").cast("bigint").alias("pos"), "domain", "layer"))
     return layers.groupBy(*KEY, "domain").agg(F.min(F.struct("layer", "pos")).alias("place")).select(
         *KEY, "domain", "place.layer", "place.pos")
 
@@ -104,13 +113,12 @@ def report(capped_domains: DataFrame, rules: DataFrame) -> DataFrame:
     ).withColumn("status", F.when((F.col("dropped") > 0) | (F.col("kept") == 0), "warn").otherwise("ok"))
 
 
-def allowlist(rules: DataFrame, fallback=()) -> DataFrame:
-    """Every domain named anywhere; exclusions neither appear nor take anything out."""
+def allowlist(rules: DataFrame, fallback=(), built_in=None) -> DataFrame:
+    """Every domain named anywhere, in the sections' built-in lists too; exclusions neither appear nor take anything out."""
     named = rules.select("domain")
-    if fallback:
-        extra = rules.sparkSession.range(1).select(
-            F.explode(T.normalize_domains(F.array(*[F.lit(d) for d in fallback]))).alias("domain"))
-        named = named.unionByName(extra)
+    constant = [*fallback, *(d for domains in (built_in or {}).values() for d in domains)]
+    if constant:
+        named = named.unionByName(rules.sparkSession.range(1).select(F.explode(_listed(constant)).alias("domain")))
     return named.where(~F.col("domain").startswith("-")).distinct()
 
 

@@ -178,10 +178,62 @@ def curriculum_pin(spark, sf):
 
 # -- requests -----------------------------------------------------------------------------
 
+def given_sections(spark, sf):
+    """Accepted sections of the catalogue's courses. Some are missing or no object, and some of later rank give a carried key anew."""
+    e = unique_courses(spark, sf).select("course_id", "ord", F.posexplode(F.array(*map(F.lit, SECTIONS))).alias("i", "section"))
+    n, i = F.col("ord"), F.col("i")
+    own = F.format_string('{"course_level":"Diploma","subcategory":"S%d","quick_facts":{"n":%d},"seo":{}}', n % 7, n)
+    payload = (
+        F.when((i == 0) & (n % 50 == 9), "[3]").when(i == 0, own)
+        .when((i == 1) & (n % 15 == 2), '{"category":"Changed","overview":{}}')
+        .when((i == 4) & (n % 10 == 3), F.format_string('{"quick_facts":{"n":-%d}}', n)).otherwise('{"course_id":"other"}'))
+    return e.where((n + i) % 4 != 0).select("course_id", "section", payload.alias("payload"))
+
+
+def unique_courses(spark, sf):
+    """The first course of each id; names of one slug share theirs."""
+    names = ("course_name", "category")
+    first = C.entries(spark, sf).groupBy("course_id").agg(F.min(F.struct("ord", *names)).alias("first"))
+    return first.select("course_id", "first.*")
+
+
+def course_fields(spark, sf):
+    category = F.nullif(F.col("category"), F.lit("PROMO"))
+    return unique_courses(spark, sf).select("course_id", "ord", A.injected_fields(
+        F.col("course_id"), F.col("course_name"), category, "INR", "India").alias("fields"))
+
+
 def plan(spark, sf):
     courses = C.entries(spark, sf).withColumn("duration", _pinned(F.col("course_name")))
     resolved = D.resolved(D.capped(C.remaining(spark, sf)))
-    return A.request_plan(courses, resolved, "INR", "India")
+    return A.request_plan(courses, resolved, "INR", "India", A.contexts(course_fields(spark, sf), given_sections(spark, sf)), "year")
+
+
+def _told(before: str) -> str:
+    """The context in SQL; `before` says which section (its rank in place of {0}) has given what it has."""
+    gave = lambda i: f"((e.ord + {i}) % 4 <> 0 AND {before.format(i)})"
+    profile = f"({gave(0)} AND e.ord % 50 <> 9)"
+    facts = f"CASE WHEN {gave(4)} AND e.ord % 10 = 3 THEN -e.ord WHEN {profile} THEN e.ord END"
+    return f"""'{{' || CASE WHEN {gave(1)} AND e.ord % 15 = 2 THEN '"category":"Changed",' WHEN e.category = 'PROMO' THEN '' ELSE '"category":"' || e.category || '",' END
+      || CASE WHEN {profile} THEN '"course_level":"Diploma",' ELSE '' END || '"course_name":"' || e.course_name || '"'
+      || coalesce(',"quick_facts":{{"n":' || ({facts}) || '}}', '') || ',"region":"India"' || CASE WHEN {profile} THEN ',"subcategory":"S' || (e.ord % 7) || '"' ELSE '' END || '}}'"""
+
+
+_UNIQUE = "(SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY course_id ORDER BY ord) = 1) e"
+_RANKED = ", ".join(f"('{s}', {i})" for i, s in enumerate(SECTIONS))
+
+
+@query("section_contexts", C._sql(f"SELECT course_id, section, {_told('{0} < i')} AS context FROM {_UNIQUE} CROSS JOIN (VALUES {_RANKED}) v(section, i)"))
+def section_contexts(spark, sf):
+    return A.contexts(course_fields(spark, sf), given_sections(spark, sf))
+
+
+@query("resume_contexts", C._sql(f"""SELECT course_id, section, {_told('({0} < i OR NOT ({0} = e.ord % 6 OR {0} = (e.ord + 2) % 6))')} AS context
+  FROM {_UNIQUE} CROSS JOIN (VALUES {_RANKED}) v(section, i) WHERE i IN (e.ord % 6, (e.ord + 2) % 6)"""))
+def resume_contexts(spark, sf):
+    """Two sections of each course are made again: they see all the others, and the second sees the first."""
+    again = F.filter(F.array(*map(F.lit, SECTIONS)), lambda s, i: (i == F.col("ord") % 6) | (i == (F.col("ord") + 2) % 6))
+    return A.contexts(course_fields(spark, sf), given_sections(spark, sf), again)
 
 
 _PLAN = f"""{C._ENTRIES}, {C._CASCADE[len(''):]}, dom AS (SELECT discipline, section, count(*) FILTER (kept) AS n FROM cap GROUP BY ALL),
@@ -194,10 +246,11 @@ plan AS (SELECT course_id, v.section, wanted, CAST(coalesce(n, -1) AS INTEGER) A
 _PLAN = _PLAN.replace("THEN 4 END AS pin FROM e)", "THEN 4 END AS pin FROM e) en").replace('"unnamed_subquery".discipline', "en.discipline")
 
 
-@query("request_plan", f"WITH {_PLAN} SELECT course_id, section, wanted AS wanted_keys, n_domains, search_filtered, constraint_line FROM plan")
+@query("request_plan", f"""WITH {_PLAN} SELECT course_id, section, wanted AS wanted_keys, n_domains, search_filtered, constraint_line, 'year' AS recency, context
+  FROM plan JOIN (SELECT course_id, section, {_told('{0} < i')} AS context FROM {_UNIQUE} CROSS JOIN (VALUES {_RANKED}) v(section, i)) USING (course_id, section)""")
 def request_plan(spark, sf):
     return plan(spark, sf).select(
-        "course_id", "section", "wanted_keys", F.coalesce(F.size("domains"), F.lit(-1)).alias("n_domains"), "search_filtered", "constraint_line")
+        "course_id", "section", "recency", "context", "wanted_keys", F.coalesce(F.size("domains"), F.lit(-1)).alias("n_domains"), "search_filtered", "constraint_line")
 
 
 _ATT_PARTS = X._ATT

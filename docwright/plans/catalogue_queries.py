@@ -241,11 +241,14 @@ layers AS (SELECT d.discipline, s.section, f.domain, f.pos,
     CASE WHEN f.discipline = 'default' THEN 3 ELSE 1 END + CASE WHEN f.section = '_all' THEN 1 ELSE 0 END AS layer
   FROM discs d CROSS JOIN secs s JOIN first f ON f.discipline IN (d.discipline, 'default') AND f.section IN (s.section, '_all')
   UNION ALL SELECT discipline, section, u.domain, u.pos, 6 FROM discs CROSS JOIN secs CROSS JOIN
-    (VALUES ('p0.gov.example', 0), ('edu.example', 1)) u(domain, pos)),
+    (VALUES ('p0.gov.example', 0), ('edu.example', 1)) u(domain, pos)
+  UNION ALL SELECT discipline, b.section, b.domain, b.pos, 5 FROM discs CROSS JOIN
+    (VALUES ('market', 'fees.example', 0), ('market', '-edu.example', 1), ('academics', 'edu.example', 0), ('academics', 'p0.gov.example', 1)) b(section, domain, pos)),
 best AS (SELECT discipline, section, domain, CAST(layer AS INTEGER) AS layer, pos FROM (SELECT *, row_number() OVER (PARTITION BY discipline, section, domain ORDER BY layer, pos) AS n FROM layers) WHERE n = 1),
 rest AS (SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM best x WHERE x.discipline = b.discipline AND x.section = b.section AND x.domain = '-' || b.domain)),
 cap AS (SELECT *, row_number() OVER (PARTITION BY discipline, section ORDER BY layer, pos, domain) <= 20 AS kept FROM rest)"""
 FALLBACK = ("https://P0.gov.example/x", "edu.example", "p0.gov.example")
+BUILT_IN = {"market": ("https://fees.example/list", "-edu.example", "fees.example"), "academics": ("www.edu.example", "P0.gov.example"), "guidance": ()}
 
 
 def rules(spark, sf):
@@ -258,7 +261,7 @@ def rules(spark, sf):
 
 
 def remaining(spark, sf):
-    return D.without_excluded(D.cascade(rules(spark, sf), FALLBACK))
+    return D.without_excluded(D.cascade(rules(spark, sf), FALLBACK, BUILT_IN))
 
 
 @query("normalize_domain", rf"""SELECT page_id, CASE WHEN page_id % 11 = 0 THEN '-' ELSE '' END || {_HOST} AS domain FROM pages""")
@@ -301,12 +304,12 @@ def domain_table_checks(spark, sf):
 
 @query("domain_cascade", f"WITH {_CASCADE} SELECT discipline, section, domain, layer, pos FROM best")
 def domain_cascade(spark, sf):
-    return D.cascade(rules(spark, sf), FALLBACK)
+    return D.cascade(rules(spark, sf), FALLBACK, BUILT_IN)
 
 
 @query("domain_exclusions", f"WITH {_CASCADE} SELECT discipline, section, domain FROM best EXCEPT SELECT discipline, section, domain FROM rest")
 def domain_exclusions(spark, sf):
-    every = D.cascade(rules(spark, sf), FALLBACK)
+    every = D.cascade(rules(spark, sf), FALLBACK, BUILT_IN)
     left = D.without_excluded(every)
     return every.join(left.select("discipline", "section", "domain"), ["discipline", "section", "domain"], "left_anti").select(
         "discipline", "section", "domain")
@@ -326,12 +329,12 @@ def domain_resolved(spark, sf):
 @query("domain_layers", f"""WITH {_CASCADE} SELECT discipline, section, array_to_string(list(DISTINCT layer ORDER BY layer), '|') AS layers
   FROM best GROUP BY discipline, section""")
 def domain_layers(spark, sf):
-    return D.layers_used(D.cascade(rules(spark, sf), FALLBACK)).withColumn("layers", F.array_join(F.col("layers").cast("array<string>"), "|"))
+    return D.layers_used(D.cascade(rules(spark, sf), FALLBACK, BUILT_IN)).withColumn("layers", F.array_join(F.col("layers").cast("array<string>"), "|"))
 
 
-@query("allowlist", f"WITH {_RULES} SELECT DISTINCT domain FROM rules WHERE domain NOT LIKE '-%' UNION SELECT unnest(['p0.gov.example', 'edu.example'])")
+@query("allowlist", f"WITH {_RULES} SELECT DISTINCT domain FROM rules WHERE domain NOT LIKE '-%' UNION SELECT unnest(['p0.gov.example', 'edu.example', 'fees.example'])")
 def allowlist(spark, sf):
-    return D.allowlist(rules(spark, sf), FALLBACK)
+    return D.allowlist(rules(spark, sf), FALLBACK, BUILT_IN)
 
 
 @query("domain_report", f"""WITH {_CASCADE} SELECT discipline, section, count(*) FILTER (kept) AS kept, count(*) FILTER (NOT kept) AS dropped,

@@ -135,17 +135,6 @@ def repair_rounds(spark, sf):
     return A.merge_rounds(rounds)
 
 
-@query("next_repairs", Q.with_("dd", f"""SELECT course_id, section, 2 AS round FROM (
-  SELECT course_id, 'profile' AS section FROM ({' UNION ALL '.join(Q.RULE_SQL[n][1][0] for n in ('duration_inverted',))})
-  UNION SELECT course_id, 'snapshot' FROM ({' UNION ALL '.join(Q.RULE_SQL['salary_order'][1])})
-  UNION SELECT course_id, 'market' FROM ({' UNION ALL '.join(Q.RULE_SQL['college_checks'][1])}))"""))
-def next_repairs(spark, sf):
-    docs = V.typed_documents(spark, sf, ("quick_facts", "snapshot", "colleges"))
-    found = rules.rule_findings(F.col("doc"), rules.Context(), rules.subset("duration_ordering", "salary_ordering", "college_ranking"))
-    failing = docs.select("course_id", R.failing_sections(found).alias("sections"))
-    return A.repairs(failing, 1)
-
-
 _STATUS = (200, 408, 409, 429, 500, 503, 404, 401)
 
 

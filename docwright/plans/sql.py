@@ -111,7 +111,7 @@ _SUBJ = """(SELECT k, course_id, path, row_number() OVER (PARTITION BY k, lower(
       CASE j WHEN 0 THEN p_name WHEN 1 THEN p_name || ' laboratory' WHEN 2 THEN p_type || ' theory ' || slot
         ELSE 'Project ' || (pk % 10) END AS subject
       FROM nl JOIN dd d ON d.k = nl.k CROSS JOIN range(0, 4) r(j)))"""
-_CMP = "(SELECT nl.k, 'crs_' || nl.k AS course_id, pos, CASE WHEN pos = 0 AND nl.k % 19 = 0 THEN p_name || ' honours' ELSE p_name END AS cn FROM nl WHERE pos < 3)"
+_CMP = "(SELECT nl.k, 'crs_' || nl.k AS course_id, pos, CASE WHEN pos = 0 AND nl.k % 19 = 0 THEN p_name || ' honours' ELSE p_name END AS cn FROM nl)"
 _BADGE = "(flag = 'A' OR (flag = 'N' AND st <> 'O'))"
 _HEAD = "(SELECT k, course_id, name, CASE WHEN k % 43 = 0 THEN NULL WHEN k % 23 = 0 THEN 'What is this course?' ELSE 'What is ' || name || '?' END AS heading FROM dd)"
 _BY = "(SELECT nl.k, 'crs_' || nl.k AS course_id, {agg} FROM nl GROUP BY nl.k)"
@@ -208,7 +208,7 @@ def _sizes(path: str, low: int, high: int, source: str = "dd", size: str = "n"):
 _LISTS = [
     _sizes("careers", 6, 6), _sizes("recruiters", 6, 6), _sizes("colleges.items", 6, 6),
     _sizes("curriculum.years", 1, 5), _sizes("eligibility.admission_timeline", 5, 5),
-    _sizes("comparison", 3, 3, size="least(n, 3)"),
+    _sizes("comparison", 3, 3),
     _sizes("fees.rows", 4, 8, "(SELECT * FROM dd WHERE k % 31 <> 0)"),
     _sizes("overview.paragraphs", 3, 3, _NPAR),
 ]

@@ -285,7 +285,7 @@ def property_columns() -> dict[str, Column]:
             )).alias("items"),
             F.lit(_LINE_60).alias("data_note"),
         ),
-        "comparison": F.transform(F.slice(it, 1, 3), lambda x, i: F.struct(
+        "comparison": F.transform(it, lambda x, i: F.struct(
             F.when((i == 0) & every(19), F.concat(x["p_name"], F.lit(" honours"))).otherwise(x["p_name"]).alias("course_name"),
             F.lit("Making and design").alias("main_focus"),
             F.lit("Moderate").alias("statistics_level"),
