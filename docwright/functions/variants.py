@@ -35,6 +35,21 @@ def as_array(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 
 
+def over(left: Column, right: Column) -> Column:
+    """Union of two maps in which the right one wins."""
+    kept = F.map_filter(left, lambda k, _: ~F.array_contains(F.map_keys(right), k))
+    return F.map_concat(kept, right)
+
+
+def without(v: Column, path: str) -> Column:
+    """A VARIANT object without the member at a dotted path; what has no such path stays as it is."""
+    first, _, rest = path.partition(".")
+    members = as_object(v)
+    left = (F.transform_values(members, lambda k, x: F.when(k == first, without(x, rest)).otherwise(x)) if rest
+            else F.map_filter(members, lambda k, _: k != first))
+    return F.coalesce(F.to_variant_object(left), v)
+
+
 def leaves(v: Column, depth: Column) -> Column:
     """Every scalar below v as array<struct<path, v>>, outermost first.
 

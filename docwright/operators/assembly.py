@@ -7,7 +7,7 @@ from pyspark.sql import types as S
 from docwright.constants import CONTEXT_KEYS, MAX_TAUGHT_YEARS, SECTIONS
 from docwright.functions import text as T
 from docwright.functions.numbers import half_even
-from docwright.functions.variants import as_object
+from docwright.functions.variants import as_object, over
 from docwright.operators.domains import DEFAULT
 from docwright.schema import DOCUMENT
 
@@ -29,12 +29,6 @@ def section_json(document: Column, section: str) -> Column:
     return F.to_json(F.map_filter(as_object(document), lambda k, _: F.array_contains(owned, k)))
 
 
-def over(left: Column, right: Column) -> Column:
-    """Union of two maps in which the right one wins."""
-    kept = F.map_filter(left, lambda k, _: ~F.array_contains(F.map_keys(right), k))
-    return F.map_concat(kept, right)
-
-
 def merge_sections(base: DataFrame, sections: DataFrame) -> DataFrame:
     """Documents out of injected fields (course_id, fields) and accepted sections (course_id, section, payload).
 

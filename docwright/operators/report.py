@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 
 from docwright.constants import DERIVED_PATHS, FEEDBACK_LIMIT, SECTIONS
 from docwright.functions.arrays import unnest
-from docwright.functions.variants import nesting_depth, string_leaves
+from docwright.functions.variants import as_object, nesting_depth, over, string_leaves, without
 from docwright.operators import rules as R
-from docwright.operators.structure import examine_columns, path_order
+from docwright.operators.structure import TYPICAL_DURATION, examine_columns, path_order
 from docwright.schema import DOCUMENT_TYPE
 
+FINDING_OF_STRUCTURE = "array<struct<code:string,path:string,message:string>>"
 FINDING = "struct<code:string,path:string,message:string,severity:string,source:string>"
 
 
@@ -135,13 +136,57 @@ def section_findings(
     those of the fixed number of taught years; typed is the merged document
     (injected fields, carried context, candidate) and merged_keys its root keys.
     """
-    structure = examine_columns(
-        body, variant, SECTIONS[section], derived=DERIVED_PATHS.get(section, ()),
-        pinned_years=pinned if section == "academics" else None,
-        skip_duration=is_pinned if section == "profile" else None,
-    )["findings"]
+    structure = _section_structure(body, variant, section, pinned, is_pinned)
     found = F.concat(
         _sourced(structure, "schema"),
         _sourced(R.rule_findings(typed, context, rules, merged_keys), "rule"),
     )
     return F.array_distinct(found)
+
+
+def _section_structure(body: str, variant: str, section: str, pinned: str | None, is_pinned: str | None) -> Column:
+    return examine_columns(
+        body, variant, SECTIONS[section], derived=DERIVED_PATHS.get(section, ()),
+        pinned_years=pinned if section == "academics" else None,
+        skip_duration=is_pinned if section == "profile" else None,
+    )["findings"]
+
+
+def _stripped(variant: Column, section: Column, pinned: Column) -> Column:
+    """A candidate without what is computed later: the section's derived paths, and the duration of a pinned course."""
+    out = variant
+    for name, paths in DERIVED_PATHS.items():
+        for path in paths:
+            out = F.when(section == name, without(variant, path)).otherwise(out)
+    return F.when((section == "profile") & pinned.isNotNull(), without(variant, TYPICAL_DURATION)).otherwise(out)
+
+
+def validate_sections(
+    candidates: DataFrame, *, currency: str = "INR", allowed_domains=(), search_filtered: bool = True,
+    academic_years: Column | None = None, rules=R.ALL_RULES,
+) -> DataFrame:
+    """Add findings to candidate sections (section, candidate, context; both JSON objects), all sections in one pass.
+
+    The strict schemas of the sections are branches of one expression, so a row is judged by its own section's alone. The
+    rules then see the context (injected and carried fields) with the candidate laid over it. What is computed later is
+    taken out of the candidate first. A candidate that is no object gives the finding that its structure gives.
+    """
+    years = F.lit(None).cast("int") if academic_years is None else academic_years
+    section = F.col("section")
+    read = candidates.withColumn("_years", years)
+    read = read.withColumn("_pinned", F.col("_years").isNotNull()).withColumn("_cv", _stripped(F.try_parse_json("candidate"), section, F.col("_years")))
+    read = read.withColumn("_text", F.coalesce(F.to_json("_cv"), F.col("candidate")))
+    known = F.coalesce(as_object(F.try_parse_json("context")), as_object(F.parse_json(F.lit("{}"))))
+    read = read.withColumn("_merged", F.to_json(F.coalesce(over(known, as_object(F.col("_cv"))), known)))
+    read = read.withColumns({
+        "_typed": F.from_json("_merged", DOCUMENT_TYPE),
+        "_keys": F.coalesce(F.json_object_keys("_merged"), F.array().cast("array<string>")),
+        "_leaves": string_leaves(F.try_parse_json("_merged"), nesting_depth(F.col("_merged"))),
+    })
+    structure = F.array().cast(FINDING_OF_STRUCTURE)
+    for name in SECTIONS:
+        structure = F.when(section == name, _section_structure("_text", "_cv", name, "_years", "_pinned")).otherwise(structure)
+    context = R.Context(
+        currency=currency, allowed_domains=tuple(allowed_domains), search_filtered=search_filtered, academic_years=F.col("_years"), leaves=F.col("_leaves"))
+    found = F.concat(_sourced(structure, "schema"), _sourced(R.rule_findings(F.col("_typed"), context, rules, F.col("_keys")), "rule"))
+    return read.withColumn("findings", F.array_distinct(found)).drop("_years", "_pinned", "_cv", "_text", "_merged", "_typed", "_keys", "_leaves")

@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from docwright.constants import FEEDBACK_LIMIT, SECTIONS
+from docwright.constants import FEEDBACK_LIMIT, INJECTED, SECTIONS
 from docwright.functions.arrays import unnest
-from docwright.functions.variants import nesting_depth, string_leaves
+from docwright.functions.variants import as_object, without
+from docwright.operators import assembly as A
 from docwright.operators import report as P
 from docwright.operators import rules as R
+from docwright.operators.structure import TYPICAL_DURATION
 from docwright.plans import sql as Q
 from docwright.plans import views as V
 from docwright.plans.document_queries import _CITE, _HARD, _PROCESS, _SOFT, RULE_QUERIES, pinned_years
@@ -136,39 +138,44 @@ def feedback_lines(spark, sf):
         F.col("feedback").isNotNull())
 
 
-@query("section_scope_findings", Q.with_("dd", f"""
-  SELECT course_id, code, path, source FROM (
-    SELECT k, course_id, 'minItems' AS code, 'eligibility.admission_timeline' AS path, 'schema' AS source FROM dd WHERE n < 5
-    UNION ALL SELECT k, course_id, 'maxItems', 'eligibility.admission_timeline', 'schema' FROM dd WHERE n > 5
-    UNION ALL SELECT k, course_id, 'maximum', 'eligibility.admission_timeline[' || pos || '].step', 'schema' FROM {Q._LINE} WHERE slot > 5
-    UNION ALL SELECT k, course_id, 'minItems', 'curriculum.years', 'schema' FROM {Q.PINS} WHERE n < coalesce(pin, 1)
-    UNION ALL SELECT k, course_id, 'maxItems', 'curriculum.years', 'schema' FROM {Q.PINS} WHERE n > coalesce(pin, 5)
-    UNION ALL SELECT l.k, l.course_id, 'maximum', 'curriculum.years[' || pos || '].year', 'schema'
-      FROM {Q._LINE} l JOIN {Q.PINS} p ON p.k = l.k WHERE CASE WHEN l.k % 10 = 0 THEN slot ELSE pos + 1 END > coalesce(pin, 5)
-    UNION ALL SELECT k, course_id, code, path, 'rule' FROM ({Q.RULE_SQL['duration_inverted'][1][0]})
-    UNION ALL SELECT k, course_id, code, path, 'rule' FROM ({Q.RULE_SQL['quick_fee_range'][1][0]})
-    UNION ALL SELECT k, course_id, code, path, 'rule' FROM ({Q.RULE_SQL['quick_fee_range'][1][1]})
-    UNION ALL SELECT k, course_id, code, path, 'rule' FROM ({Q.RULE_SQL['quick_fee_spread'][1][0]})
-    UNION ALL SELECT k, course_id, code, path, 'rule' FROM ({Q.RULE_SQL['timeline_steps'][1][0]})
-    UNION ALL SELECT k, course_id, code, path, 'rule' FROM ({Q.RULE_SQL['year_sequence'][1][0]})
-    UNION ALL SELECT k, course_id, code, path, 'rule' FROM ({Q.RULE_SQL['duplicate_subjects'][1][0]})
-    UNION ALL SELECT k, course_id, code, path, 'rule' FROM ({Q.RULE_SQL['curriculum_length'][1][0]}))"""))
+_BY_SECTION = {
+    "profile": (), "snapshot": ("salary_order", "overview_length", "heading_names_course"), "academics": ("timeline_steps", "year_sequence", "duplicate_subjects"),
+    "outcomes": ("career_checks", "duplicate_recruiters"),
+    "market": ("fee_not_annual", "fee_too_low", "fee_rows", "fee_spread", "fee_segmentation", "college_checks", "comparison_checks"),
+    "guidance": ("intro_length", "source_checks"),
+}
+_UNPINNED = f"(SELECT k FROM {Q.PINS} WHERE pin IS NULL)"
+_SCOPED = [
+    *(f"SELECT k, course_id, '{s}' AS section, code, path, 'rule' AS source FROM ({p})" for s, names in _BY_SECTION.items() for n in names for p in Q.RULE_SQL[n][1]),
+    # Quick facts are known to every section, but the duration of a pinned course is not.
+    *(f"SELECT k, course_id, section, code, path, 'rule' FROM ({p}) CROSS JOIN (SELECT unnest({list(SECTIONS)}) AS section)"
+      for n in ("quick_fee_range", "quick_fee_spread") for p in Q.RULE_SQL[n][1]),
+    f"SELECT k, course_id, section, code, path, 'rule' FROM ({Q.RULE_SQL['duration_inverted'][1][0]}) CROSS JOIN (SELECT unnest({list(SECTIONS)}) AS section) WHERE k IN {_UNPINNED}",
+    *(f"SELECT k, course_id, '{s}', code, path, 'rule' FROM ({Q.RULE_SQL[n][1][0]}) WHERE k IN {_UNPINNED}"
+      for s, n in (("academics", "curriculum_length"), ("market", "total_below_annual"))),
+    *(f"SELECT k, course_id, CASE WHEN starts_with(path, 'overview') THEN 'snapshot' ELSE 'guidance' END, code, path, 'rule' FROM ({p}) WHERE path <> 'extra_note'" for p in _TEXT_PARTS),
+    # The structure, by owner; the years of subjects have their own limits where they are pinned.
+    f"""SELECT k, course_id, section, code, path, 'schema' FROM ({" UNION ALL ".join(f"({p})" for n in Q.STRUCTURE_SQL for p in Q.STRUCTURE_SQL[n][1])})
+      JOIN (VALUES {', '.join(f"('{p}', '{s}')" for s in SECTIONS for p in SECTIONS[s])}) o(property, section) ON property = regexp_extract(path, '^[a-z_]+')
+      WHERE NOT (code IN ('minItems', 'maxItems') AND path = 'curriculum.years') AND NOT (code = 'maximum' AND starts_with(path, 'curriculum.years['))""",
+    "SELECT k, course_id, 'market', 'required', '', 'schema' FROM dd WHERE k % 31 = 0",
+    f"SELECT k, course_id, 'academics', 'minItems', 'curriculum.years', 'schema' FROM {Q.PINS} WHERE n < coalesce(pin, 1)",
+    f"SELECT k, course_id, 'academics', 'maxItems', 'curriculum.years', 'schema' FROM {Q.PINS} WHERE n > coalesce(pin, 5)",
+    f"""SELECT l.k, l.course_id, 'academics', 'maximum', 'curriculum.years[' || pos || '].year', 'schema'
+      FROM {Q._LINE} l JOIN {Q.PINS} p ON p.k = l.k WHERE CASE WHEN l.k % 10 = 0 THEN slot ELSE pos + 1 END > coalesce(pin, 5)""",
+]
+
+
+@query("section_scope_findings", Q.with_("para intro src", "SELECT DISTINCT course_id, section, code, path, source FROM (" + " UNION ALL ".join(f"({p})" for p in _SCOPED) + ")"))
 def section_scope_findings(spark, sf):
-    """Candidates of the academics section, judged with the quick facts already known."""
-    carried = ("course_name", "region", "quick_facts")
-    docs = V.json_documents(spark, sf, carried + SECTIONS["academics"])
-    members = lambda names: F.concat(F.lit("{"), F.concat_ws(",", *[
-        F.concat(F.lit(f'"{n}":'), F.to_json(F.try_variant_get(F.col("v"), f"$.{n}", "variant"))) for n in names]), F.lit("}"))
-    read = docs.withColumn("v", F.try_parse_json("body")).withColumns({
-        "candidate": members(SECTIONS["academics"]), "merged": members(carried + SECTIONS["academics"])})
-    read = read.withColumns({
-        "cv": F.try_parse_json("candidate"),
-        "typed": F.from_json("merged", DOCUMENT_TYPE),
-        "keys": F.json_object_keys("merged"),
-        "leaves": string_leaves(F.try_parse_json("merged"), nesting_depth(F.col("merged"))),
-        "years": pinned_years(F.get_json_object("body", "$.course_name")),
-    })
-    context = R.Context(academic_years=F.col("years"), leaves=F.col("leaves"))
-    found = P.section_findings("candidate", "cv", F.col("typed"), F.col("keys"), "academics", context, pinned="years")
-    return P.findings_table(read.select("course_id", found.alias("findings")), "course_id").select(
-        "course_id", "code", "path", "source")
+    """Every section of every document as a candidate, judged with what earlier sections have told."""
+    v = F.col("v")
+    told = A.carried_context(v)
+    base = F.to_json(F.map_filter(as_object(v), lambda k, _: k.isin(*INJECTED)))
+    parts = F.array(*[F.struct(F.lit(s).alias("section"), A.section_json(v, s).alias("candidate"), (base if i == 0 else told).alias("context")) for i, s in enumerate(SECTIONS)])
+    parsed = F.try_parse_json("body")
+    pinned = pinned_years(F.get_json_object("body", "$.course_name")).isNotNull()
+    docs = V.json_documents(spark, sf).select("course_id", F.when(pinned, without(parsed, TYPICAL_DURATION)).otherwise(parsed).alias("v"))
+    rows = unnest(docs.select("course_id", parts.alias("parts")), "parts", "course_id").select("course_id", "item.*")
+    checked = P.validate_sections(rows, allowed_domains=Q.ALLOWED, academic_years=pinned_years(F.get_json_object("context", "$.course_name")))
+    return P.findings_table(checked, "course_id", "section").select("course_id", "section", "code", "path", "source").distinct()
