@@ -17,7 +17,7 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docwright.llm.common import stored, text_or_empty
@@ -28,11 +28,10 @@ BLOCKS, BLOCK_BITS, RADIUS = 8, 16, 6
 PART = 512
 COPIES = 1024  # repeated rows written from one slice of a row
 _LANES = 0x0000000100000001
-_NEXT = ("_next_id", "_next_key")
 
 
 def terms(text: Column) -> Column:
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]++"), lambda w: w != "")
+    words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]++"), "")
     return F.when(text.rlike(r"[\p{L}\p{N}]"), words).otherwise(F.when(text == "", F.array().cast("array<string>")).otherwise(F.array(text)))
 
 
@@ -125,57 +124,49 @@ def link_counts(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def in_turn(groups: DataFrame) -> DataFrame:
-    """Rows of (doc_id, key) with the row that follows by descending doc_id (nulls last) and key; the first follows the last.
+    """Rows of (doc_id, key) with the key of the row that follows by descending doc_id (nulls last) and key; the first follows the last.
 
     The rows are dealt to parts by ranges of this order. Each part is a window of its own, and its last row takes the first row of the
     next part from a table that has one row a part.
     """
     order = [F.col("doc_id").isNull(), F.bitwise_not("doc_id"), F.col("key")]
     ranged = stored(groups.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "simhash-order")
-    from pyspark.sql import Window
-
-    row = F.struct(F.col("doc_id").alias("_next_id"), F.col("key").alias("_next_key"))
-    firsts = ranged.groupBy("_part").agg(F.min_by(row, F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])).alias("first"))
+    firsts = ranged.groupBy("_part").agg(F.min_by("key", F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])).alias("first"))
     turn = Window.orderBy("_part")  # one row for each part
     after = firsts.select("_part", F.coalesce(F.lead("first").over(turn), F.first("first").over(turn.rowsBetween(Window.unboundedPreceding, 0))).alias("after"))
-    found = ranged.withColumn("_next", F.lead(row).over(Window.partitionBy("_part").orderBy(*order))).join(F.broadcast(after), "_part")
-    return found.withColumn("_next", F.coalesce("_next", "after")).select(*groups.columns, "_next.*")
-
-
-def _matches(left: str, right: tuple[str, str]) -> Column:
-    return F.col(f"{left}.doc_id").eqNullSafe(F.col(right[0])) & (F.col(f"{left}.key") == F.col(right[1]))
+    follows = F.lead("key").over(Window.partitionBy("_part").orderBy(*order))
+    return ranged.withColumn("_follows", follows).join(F.broadcast(after), "_part").select(*groups.columns, F.coalesce("_follows", "after").alias("next_key"))
 
 
 def edited_pairs(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, class_id, n_links.
 
     The edited text has its last half (rounded down) replaced by the first code points of the next document, as many or all it has; next is
-    by descending doc_id, nulls last, equal ids in order of the MD5 of their texts, and after the last comes the first. class_id is
+    by descending doc_id, nulls last, equal ids in order of the MD5 of id and text, and after the last comes the first. class_id is
     the smallest doc_id of equal fingerprints, n_links the number of different fingerprints within the radius. A null text is empty, and an
     empty text is fingerprinted as one blank. Repeated rows are followed by each other and keep a row each. Extra columns are not read.
     """
     text = text_or_empty("text")
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("key"), text.alias("text"))
-    groups = rows.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("copies"), F.max(F.length("text")).alias("n_chars"))
+    named = F.concat(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), F.lit(":"), text)
+    rows = documents.select(F.unhex(F.md5(named)).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    groups = rows.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("copies"), F.max(F.length("text")).alias("n_chars"))
     turns = stored(in_turn(groups), "simhash-turns")
-    texts = rows.dropDuplicates(["doc_id", "key"])
-    heads = texts.alias("t").join(turns.alias("n"), _matches("t", _NEXT)).select(
-        F.col("n.doc_id").alias("_id"), F.col("n.key").alias("_key"), "n.copies", "n.n_chars", F.expr("left(t.text, n.n_chars div 2)").alias("head"))
+    texts = rows.select("key", "text").dropDuplicates(["key"])  # dealt by key once; both joins below read that exchange
+    heads = texts.join(turns.withColumnRenamed("key", "_key"), F.col("key") == F.col("next_key")).select(
+        F.col("_key").alias("key"), "copies", "n_chars", F.expr("left(text, n_chars div 2)").alias("head"))
     kept = F.expr("left(text, n_chars - n_chars div 2)")
     versions = F.array(F.col("text"), F.concat(kept, "head"), F.when(F.col("copies") > 1, F.concat(kept, F.expr("left(text, n_chars div 2)"))))
-    joined = texts.alias("t").join(heads.alias("h"), _matches("t", ("_id", "_key"))).select("doc_id", "key", F.posexplode(versions).alias("version", "text")).where("text IS NOT NULL")
-    joined = joined.select("doc_id", "key", "version", F.unhex(F.sha2("text", 256)).alias("digest"), F.when(F.col("text") == "", " ").otherwise(F.col("text")).alias("text"))
-    made = stored(fingerprints(joined, common_terms(rows.select("text")), "doc_id", "key", "version", "digest"), "simhash-fingerprints")
+    joined = texts.join(heads, "key").select("key", F.posexplode(versions).alias("version", "text")).where("text IS NOT NULL")
+    joined = joined.select("key", "version", F.unhex(F.sha2("text", 256)).alias("digest"), F.when(F.col("text") == "", " ").otherwise(F.col("text")).alias("text"))
+    made = stored(fingerprints(joined, common_terms(rows.select("text")), "key", "version", "digest"), "simhash-fingerprints")
     print_ = F.struct("high", "low")
-    per = made.groupBy("doc_id", "key").agg(
+    per = stored(made.groupBy("key").agg(
         F.max(F.when(F.col("version") == 0, print_)).alias("own"),
-        *[F.max(F.when(F.col("version") == v, F.struct(F.lower(F.hex("digest")).alias("sha"), print_.alias("print")))).alias(f"edit{v}") for v in (1, 2)])
-    per = stored(per, "simhash-versions")
-    distinct = stored(per.groupBy("own").agg(F.min("doc_id").alias("class_id")).select("own.*", "class_id"), "simhash-classes")
+        *[F.max(F.when(F.col("version") == v, F.struct(F.lower(F.hex("digest")).alias("sha"), print_.alias("print")))).alias(f"edit{v}") for v in (1, 2)]), "simhash-versions")
+    placed = turns.join(per, "key")
+    distinct = stored(placed.groupBy("own").agg(F.min("doc_id").alias("class_id")).select("own.*", "class_id"), "simhash-classes")
     classes = distinct.join(link_counts(distinct, radius), ["high", "low"], "left").select("high", "low", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    placed = turns.join(per, turns["doc_id"].eqNullSafe(per["doc_id"]) & (turns["key"] == per["key"])).select(turns["doc_id"], "copies", "n_chars", *_NEXT, "own", "edit1", "edit2")
-    nexts = per.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("own").alias("next"))
-    placed = placed.join(nexts, placed["_next_id"].eqNullSafe(nexts["_id"]) & (placed["_next_key"] == nexts["_key"]))
+    placed = placed.join(per.select(F.col("key").alias("next_key"), F.col("own").alias("next")), "next_key")
     placed = placed.join(classes, (F.col("own.high") == classes["high"]) & (F.col("own.low") == classes["low"]))
     slices = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))
     each = placed.withColumn("at", F.explode(slices)).withColumn("at", F.explode(F.sequence("at", F.least(F.col("at") + COPIES, "copies") - 1)))

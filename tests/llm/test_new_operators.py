@@ -116,7 +116,7 @@ def test_fingerprints_of_odd_rows(spark, odd, none):
     rows = simhash.edited_pairs(odd).collect()
     assert len(rows) == len(ROWS)
     assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in rows)
-    order = sorted(ROWS, key=lambda r: (r[0] is None, -(r[0] or 0), hashlib.md5((r[1] or "").encode()).digest()))
+    order = sorted(ROWS, key=lambda r: (r[0] is None, -(r[0] or 0), hashlib.md5(f"{'' if r[0] is None else r[0]}:{r[1] or ''}".encode()).digest()))
     want = collections.Counter()
     for at, r in enumerate(order):
         text, other = r[1] or "", order[(at + 1) % len(order)][1] or ""
