@@ -12,8 +12,9 @@ from docwright.operators.structure import TYPICAL_DURATION
 from docwright.plans import sql as Q
 from docwright.plans import views as V
 from docwright.plans.document_queries import _CITE, _HARD, _PROCESS, _SOFT, RULE_QUERIES, pinned_years
+from docwright.plans.feedback_sql import lines as feedback_lines_of
 from docwright.plans.registry import query
-from docwright.schema import DOCUMENT_TYPE
+from docwright.sources import artifacts as W
 
 _TEXT_LEAF = f"""(SELECT k, course_id, path, p AS text FROM {Q._PARA}
   UNION ALL SELECT k, course_id, 'parent_corner.intro', body FROM intro
@@ -110,32 +111,19 @@ def property_owner(spark, sf):
         F.count("*").alias("findings"))
 
 
-_FEEDBACK = ("duration_ordering", "comparison_anchor", "career_route_mix", "recruiter_initials", "curriculum_years")
-
-
-@query("feedback_lines", Q.with_("dd", f"""
-  SELECT course_id, array_to_string((list(line ORDER BY r, pos, j))[1:{FEEDBACK_LIMIT}], '|') AS feedback FROM (
-    SELECT k, course_id, 1 AS r, 0 AS pos, 0 AS j, '- quick_facts.typical_duration: min_years ' || ymin || ' is above max_years ' || ymax AS line
-      FROM dd WHERE ymin > ymax
-    UNION ALL SELECT k, course_id, 2, pos, j, '- ' || path || ': subject is listed before: ' || subject FROM (
-      SELECT *, row_number() OVER (PARTITION BY k, lower(subject) ORDER BY pos, j) AS nth
-      FROM (SELECT d.k, d.course_id, pos, j, 'curriculum.years[' || pos || '].subjects[' || j || '].name' AS path,
-        CASE j WHEN 0 THEN p_name WHEN 1 THEN p_name || ' laboratory' WHEN 2 THEN p_type || ' theory ' || slot
-          ELSE 'Project ' || (pk % 10) END AS subject
-        FROM nl JOIN dd d ON d.k = nl.k CROSS JOIN range(0, 4) r(j))) WHERE nth > 1
-    UNION ALL SELECT k, course_id, 1.5, 0, 0, '- curriculum.years: years do not run 1, 2, 3 ...: ' || years FROM (
-      SELECT d.k, d.course_id, '[' || string_agg({Q.STEP}, ',' ORDER BY pos) || ']' AS years, bool_or({Q.STEP} <> pos + 1) AS wrong
-      FROM nl JOIN dd d ON d.k = nl.k GROUP BY ALL) WHERE wrong
-    UNION ALL SELECT k, course_id, 3, 0, 0, '- careers: a career title appears twice' FROM {Q._BY.format(agg="count(DISTINCT p_name) < count(*) AS again")} WHERE again
-    UNION ALL SELECT k, course_id, 4, 0, 0, '- recruiters: an organisation appears twice' FROM {Q._BY.format(agg="count(DISTINCT s_name) < count(*) AS again")} WHERE again)
-  GROUP BY course_id"""))
+# Paths in document order: members by name, indexes as numbers.
+_IN_ORDER = r"list_aggregate(list_transform(string_split(path, '['), lambda x: CASE WHEN regexp_matches(x, '^[0-9]+\]') THEN lpad(regexp_extract(x, '^[0-9]+'), 9, '0') || substr(x, strpos(x, ']')) ELSE x END), 'string_agg', '[')"
+
+
+@query("feedback_lines", Q.with_("para intro src", f"""
+  SELECT course_id, array_to_string((list('- ' || CASE path WHEN '' THEN '<root>' ELSE path END || ': ' || message
+      ORDER BY source, CASE source WHEN 0 THEN {_IN_ORDER} END, CASE source WHEN 0 THEN code END, rank, place, message))[1:{FEEDBACK_LIMIT}], '|') AS feedback
+  FROM ({feedback_lines_of(_TEXT_PARTS)}) GROUP BY course_id"""))
 def feedback_lines(spark, sf):
-    docs = V.typed_documents(spark, sf, ("quick_facts", "curriculum", "careers", "recruiters"))
-    rules = R.subset("duration_ordering", "curriculum_years", "career_route_mix", "recruiter_initials")
-    found = P._sourced(R.rule_findings(F.col("doc"), R.Context(), rules), "rule")
-    lines = docs.select("course_id", P.feedback_lines(found).alias("lines"))
-    return lines.select("course_id", F.nullif(F.array_join("lines", "|"), F.lit("")).alias("feedback")).where(
-        F.col("feedback").isNotNull())
+    # Stored first: the lines mention the findings several times, and the optimizer would put the whole check in for each.
+    found = W.stored(validated(spark, sf).select("course_id", "findings"), W.shared_folder(spark) + "/findings")
+    lines = found.select("course_id", P.feedback_lines(F.col("findings")).alias("lines"))
+    return lines.where(F.size("lines") > 0).select("course_id", F.array_join("lines", "|").alias("feedback"))
 
 
 _BY_SECTION = {

@@ -103,15 +103,15 @@ def _f(code: str, path: str, source: str, where: str, severity: str = "error") -
 _COL = """(SELECT d.*, pos, slot, s_name, flag, CASE WHEN d.k % 41 <> 0 THEN fee END AS afee,
     'colleges.items[' || pos || '].annual_fee' AS path FROM nl JOIN dd d ON d.k = nl.k)"""
 _FLOOR = "CASE WHEN flag = 'R' THEN 500 ELSE 5000 END"
-_SEQ = """(SELECT d.k, d.course_id FROM nl JOIN dd d ON d.k = nl.k GROUP BY d.k, d.course_id
+_SEQ = """(SELECT d.k, d.course_id, '[' || string_agg({step}, ',' ORDER BY pos) || ']' AS steps FROM nl JOIN dd d ON d.k = nl.k GROUP BY d.k, d.course_id
     HAVING bool_or({step} <> pos + 1))"""
 _TYPES = "(SELECT d.k, d.course_id, bool_or(flag = 'R') AS gov, bool_or(flag <> 'R') AS priv FROM nl JOIN dd d ON d.k = nl.k GROUP BY d.k, d.course_id)"
-_SUBJ = """(SELECT k, course_id, path, row_number() OVER (PARTITION BY k, lower(subject) ORDER BY pos, j) AS nth
+_SUBJ = """(SELECT k, course_id, path, pos, j, subject, row_number() OVER (PARTITION BY k, lower(subject) ORDER BY pos, j) AS nth
     FROM (SELECT d.k, d.course_id, pos, j, 'curriculum.years[' || pos || '].subjects[' || j || '].name' AS path,
       CASE j WHEN 0 THEN p_name WHEN 1 THEN p_name || ' laboratory' WHEN 2 THEN p_type || ' theory ' || slot
         ELSE 'Project ' || (pk % 10) END AS subject
       FROM nl JOIN dd d ON d.k = nl.k CROSS JOIN range(0, 4) r(j)))"""
-_CMP = "(SELECT nl.k, 'crs_' || nl.k AS course_id, pos, CASE WHEN pos = 0 AND nl.k % 19 = 0 THEN p_name || ' honours' ELSE p_name END AS cn FROM nl)"
+_CMP = "(SELECT nl.k, 'crs_' || nl.k AS course_id, pos, p_name, CASE WHEN pos = 0 AND nl.k % 19 = 0 THEN p_name || ' honours' ELSE p_name END AS cn FROM nl)"
 _BADGE = "(flag = 'A' OR (flag = 'N' AND st <> 'O'))"
 _HEAD = "(SELECT k, course_id, name, CASE WHEN k % 43 = 0 THEN NULL WHEN k % 23 = 0 THEN 'What is this course?' ELSE 'What is ' || name || '?' END AS heading FROM dd)"
 _BY = "(SELECT nl.k, 'crs_' || nl.k AS course_id, {agg} FROM nl GROUP BY nl.k)"
@@ -150,7 +150,7 @@ RULE_SQL = {
     "fee_spread": ("dd", [_f("fee_spread_too_wide", "path", ROW,
                              "NOT variable AND itype IS NULL AND rmax > 0 AND (rmin = 0 OR rmax / rmin > 20)")]),
     "fee_segmentation": ("dd", [_f("fee_segmentation_incomplete", "'fees.rows'",
-                                   f"(SELECT k, course_id FROM {ROW} GROUP BY k, course_id HAVING count(DISTINCT itype) = 1)", "true")]),
+                                   f"(SELECT k, course_id, max(itype) AS itype FROM {ROW} GROUP BY k, course_id HAVING count(DISTINCT itype) = 1)", "true")]),
     "quick_fee_spread": ("dd", [_f("quick_fee_spread_too_wide", "'quick_facts.indicative_annual_fees'", "dd",
                                    "qmax > 0 AND (qmin = 0 OR qmax / qmin > 25)")]),
     "total_below_annual": ("dd", [_f("total_below_annual", "path || '.max'", ROW,
@@ -160,7 +160,7 @@ RULE_SQL = {
         _f("college_type_missing", "'colleges.items'", _TYPES, "NOT gov"),
         _f("college_type_missing", "'colleges.items'", _TYPES, "NOT priv"),
         _f("duplicate_college", "'colleges.items'",
-           "(SELECT d.k, d.course_id FROM nl JOIN dd d ON d.k = nl.k GROUP BY d.k, d.course_id, s_name HAVING count(*) > 1)", "true"),
+           "(SELECT d.k, d.course_id, lower(s_name) AS college FROM nl JOIN dd d ON d.k = nl.k GROUP BY d.k, d.course_id, s_name HAVING count(*) > 1)", "true"),
         _f("college_fee_out_of_range", "path", _COL, "afee > 5000000")]),
     "comparison_checks": ("nl", [
         _f("comparison_anchor_mismatch", "'comparison[0].course_name'", _CMP, "pos = 0 AND k % 19 = 0"),
