@@ -28,7 +28,7 @@ from docwright.llm.words import _weights, mix, shingle_sets
 SYMBOLS, DISTANCE, CHUNKS = 64, 25, 13
 SHINGLE_WORDS = 5
 ERRORS = DISTANCE // CHUNKS
-BLOCK_CLASSES = 512
+BLOCK_CLASSES = 256
 _BLOCK = 1 << 12
 
 
