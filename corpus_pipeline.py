@@ -59,7 +59,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: No SQL expresses the classifier, so the pipeline is tested against its stages' brute-force versions.
+#: No SQL expresses the classifier. The stages' operators have tests of their own; the whole has none yet.
 ORACLE_SQL: str | None = None
 
 
