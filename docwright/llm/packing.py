@@ -124,7 +124,7 @@ def runs(patterns: list[tuple[Pattern, int]]) -> list[tuple[int, int, int, int,
 def _cut(path: str, size: int, end_id: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            ids, offsets = coder(path).encode(part.column("text"))
+            ids, offsets = coder(path).encode_with_added(part.column("text"))
             rows: list[list] = [[], [], [], [], []]
             end = np.array([end_id], dtype="<u4").tobytes()
             for at in range(part.num_rows):

@@ -2,18 +2,20 @@
 
 A text is cut into pieces by array operations over its code points (letters, numbers, other signs, white space, each with the
 space before it), and only pieces that the worker has not met are given to the BPE coder. The ids are those that the vocabulary
-file's own library gives, special tokens in a text being ordinary text.
+file's own library gives: `encode` takes special tokens in a text as ordinary text, `encode_with_added` gives them their ids.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+import re
 import sys
 import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from docwright.llm.words import span_hashes, text_bytes
 
@@ -89,7 +91,12 @@ class Coder:
     def __init__(self, path: str) -> None:
         import tiktoken
 
-        vocabulary = json.loads(open(path, encoding="utf-8").read())["model"]["vocab"]
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        vocabulary, added = content["model"]["vocab"], content["added_tokens"]
+        if any(token[flag] for token in added for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that take in what stands beside them are not known here")
+        self.added = {token["content"]: token["id"] for token in added}
         back = byte_characters()
         ranks = {byte_values(token, back): rank for token, rank in vocabulary.items() if all(c in back for c in token) and not token.startswith("<|")}
         self.token_bytes = [b""] * (max(ranks.values()) + 1)
@@ -136,6 +143,21 @@ class Coder:
         flat = ids[np.repeat(borders[slot] - total[:-1], lengths) + np.arange(total[-1])]
         return flat, total[np.searchsorted(starts, offsets)]
 
+    def encode_with_added(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Like `encode`, but each added token of the file in a text is one id, and what stands between is coded alone."""
+        if not any(pc.any(pc.match_substring(texts, token)).as_py() for token in self.added):
+            return self.encode(texts)
+        border = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
+        split = [border.split(text) for text in texts.to_pylist()]  # text and token in turn
+        given = np.array([self.added[part] if at % 2 else -1 for parts in split for at, part in enumerate(parts)], dtype=np.int64)
+        ids, borders = self.encode(pa.array(["" if at % 2 else part for parts in split for at, part in enumerate(parts)], texts.type))
+        total = np.concatenate(([0], np.cumsum(np.where(given < 0, np.diff(borders), 1))))
+        is_added = np.zeros(total[-1], dtype=bool)
+        is_added[total[:-1][given >= 0]] = True
+        out = np.empty(total[-1], dtype=np.uint32)
+        out[is_added], out[~is_added] = given[given >= 0], ids
+        return out, total[np.concatenate(([0], np.cumsum([len(parts) for parts in split])))]
+
 
 def blank_starts(codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where a run of blanks begins, as flags over the code points of several texts."""

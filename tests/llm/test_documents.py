@@ -114,7 +114,6 @@ def test_pieces_pack_and_match_the_library(documents, texts, odd, none):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer_path())
-    library.encode_special_tokens = True
     got = packing.pack(documents, tokenizer_path()).collect()
     by, sequences = collections.defaultdict(list), collections.defaultdict(list)
     for r in got:
@@ -138,10 +137,11 @@ def test_pieces_of_any_signs():
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer_path())
-    library.encode_special_tokens = True
     rng, signs = np.random.default_rng(0), list(" \n\t'  abcstvreldm19.,!é日本 😀<|>\r'´ª²½")
     some = ["".join(rng.choice(signs, rng.integers(0, 30))) for _ in range(3000)] + ["", "it's we're 'sand ''s I'll 'd\n\n x \n"]
-    ids, borders = coder(tokenizer_path()).encode(pa.array(some))
+    end = "<|endoftext|>"
+    some += [f"hello {end} world", end, end * 3, f"a  {end}  b\n{end}", f"<|endoftext{end}|>"] + [a + end + b for a, b in zip(some[:300], some[300:600], strict=True)]
+    ids, borders = coder(tokenizer_path()).encode_with_added(pa.array(some))
     assert [ids[a:b].tolist() for a, b in zip(borders[:-1], borders[1:], strict=True)] == [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
 
 
@@ -313,5 +313,18 @@ def test_a_hot_text_is_cut_between_shards(spark):
     assert max(sizes.values()) < 1.02 * sum(sizes.values()) / 6 and len(got) == 1200
 
 
+def test_a_row_repeated_in_half_of_the_table_is_spread(spark):
+    rows = [(k, "ab" + "x" * (k % 23)) for k in range(2400)] + [(7, "the same row again")] * 2400
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    loads, mean = collections.Counter(), sum(len(t) + 8 for _, t in rows) / 24
+    for r in got:
+        loads[r["shard"]] += r["size"]
+    assert len(got) == len(rows) and len(loads) == 24 and all(abs(n - mean) <= 0.01 * mean + 33 for n in loads.values())
+    assert collections.Counter(r["doc_id"] for r in got) == collections.Counter(k for k, _ in rows)
+    for shard in range(24):
+        slots = sorted(r["slot"] for r in got if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+
+
 def test_digest_of_written_spans():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
