@@ -24,10 +24,12 @@ from docwright.llm.common import slices
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
-    |<(?P<raw>script|style|noscript|template|svg|math|iframe|object|textarea|select|title|canvas|audio|video)\b(?:[^>"']|"[^"]*"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)
-    |<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*+|[^>]*)>
-    |<[!?/][^>]*>
+    |<(?P<raw>script|style|noscript|template|svg|math|iframe|object|textarea|select|title|canvas|audio|video)\b(?:[^<>"']|"[^"]*+"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)
+    |<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<rest>(?:[^<>"']|"[^"]*+"|'[^']*+')*+|[^>]*+)>
+    |<[!?/][^>]*+>
     |(?P<text>[^<]+|<)""", re.S | re.I | re.X)
+#: What can stand behind the last > of a page.
+_TAIL = re.compile(r"<!--.*|(?P<raw>(?!))?(?P<tag>(?!))?(?P<text>[^<]+|<)", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _NAME = re.compile(r"[a-z]+", re.I)
 
@@ -49,6 +51,21 @@ STATES = frozenset("has no not with without is hide show".split())
 DEFAULT_TAG, FLOOR, SCALES = -3.25, -0.02, (0.5, 1.0, 2.0, 3.25, 6.0)
 
 
+def _tokens(source: str) -> Iterator[re.Match]:
+    """The tokens of a page, in time linear in its length.
+
+    A tag that is tried finds its end or, where a quote in it is left open or a < stands outside quotes, takes the next >; behind
+    the last > of the page none is tried.
+    """
+    last, at = source.rfind(">"), 0
+    for token in _TOKEN.finditer(source) if last >= 0 else ():
+        if token.start() > last:
+            break
+        yield token
+        at = token.end()
+    yield from _TAIL.finditer(source, at)
+
+
 def _aside_name(name: str) -> bool:
     parts = _NAME.findall(name)
     while len(parts) > 1 and parts[-1] in NEUTRAL:
@@ -62,11 +79,12 @@ class Page:
     def __init__(self, source: str) -> None:
         self.items: list[tuple[str, int, str, int, bool, bool]] = []  # class, words, text, block, marked, left out
         stack: list[str] = []
+        opened: Counter[str] = Counter()  # of the stack
         aside = mark = link = article = None  # depth of the element that began it
         block, self.marked, shown = 0, False, 0
         named: list[list] = []  # open elements with the name of an aside: depth, first item, words before, holds article or main, block
         closed_named: list[tuple[int, int, int, bool]] = []  # first item, end, words, holds other blocks
-        for token in _TOKEN.finditer(source):
+        for token in _tokens(source):
             text, tag = token["text"], token["tag"]
             if text is not None:
                 text = html.unescape(text)
@@ -84,14 +102,17 @@ class Page:
             elif tag in ("br", "td", "th"):
                 self.items.append(("word", 0, " ", block, mark is not None, aside is not None))
             if end:
-                if tag in stack:
-                    del stack[len(stack) - 1 - stack[::-1].index(tag):]
+                while opened[tag]:
+                    top = stack.pop()
+                    opened[top] -= 1
+                    if top == tag:
+                        break
             else:
                 closed = CLOSES.get(tag)
                 while closed and stack and stack[-1] in closed:
-                    stack.pop()
+                    opened[stack.pop()] -= 1
                 if tag in BLOCK and tag != "p" and stack and stack[-1] == "p":
-                    stack.pop()
+                    opened[stack.pop()] -= 1
             depth = len(stack)
             aside, mark, link, article = (d if d is not None and d < depth else None for d in (aside, mark, link, article))
             while named and named[-1][0] >= depth:
@@ -100,11 +121,14 @@ class Page:
             if end or tag in VOID or token["rest"].endswith("/"):
                 continue
             stack.append(tag)
+            opened[tag] += 1
             names, roles = self._names(token["rest"])
             if aside is None and (tag in ASIDE or roles & ASIDE_ROLES or "hidden" in roles):
                 aside = depth
             if aside is None and (tag == "main" or "main" in roles or "articlebody" in roles or tag == "article" and article is None and not names):
-                for wrapper in named:
+                for wrapper in reversed(named):
+                    if wrapper[3]:
+                        break  # so have all around it
                     wrapper[3] = True
                 if mark is None:
                     mark, self.marked = depth, True

@@ -3,12 +3,12 @@
 1. A text's distinct five-word shingles give a signature of 64 symbols of 16 bits. Texts with equal sets are one class.
 2. Signatures are cut into 13 chunks. Two signatures that differ in at most 25 symbols have, by the pigeonhole principle, a
    chunk with at most one error: each chunk is posted once for each symbol left out, so such a pair meets in a bucket,
-   always. At a similarity of 0.85 a symbol differs with probability 0.15; more than 25 of 64 differ in under one of 10**7
-   such pairs, and in fewer the more alike the texts are.
+   always. At a similarity of 0.85 a symbol differs with probability 0.15, and more than 25 of 64 differ for 6.3 of 10**7 such
+   pairs; at 0.80 for 1.3 of 10**4; for fewer the more alike the texts are. Such a pair is missed unless others join its texts.
 3. In a bucket every class is paired with the bucket's first one only. Pairs under the distance are confirmed on full sets.
    Where a bucket still holds several components, the classes of all such buckets with the same first class form a cluster,
    which is compared in blocks: its pairs of different components under the distance are confirmed inside the tasks, and only
-   links that join components come out. So no group is expanded into all its pairs, and no link is lost.
+   links that join components come out. So no group is expanded into all its pairs, and no link under the distance is lost.
 4. Components come from alternating large-star and small-star steps over the confirmed links.
 """
 

@@ -7,6 +7,7 @@ import hashlib
 import html
 import io
 import re
+import time
 
 import numpy as np
 import pytest
@@ -116,6 +117,23 @@ def test_layout_wrappers_keep_their_content(attribute):
     assert "Short article." in both.text(0, len(both.items)) and both.marked
 
 
+@pytest.mark.parametrize("hostile", ["<a ", "<a '", "<a \"><a '>", "<a \">\"", "<!--", "<script '", "<b></i>", "<div class=ad><main>", "</", "<x" + "y" * 40, "< ", "class='"])
+@pytest.mark.parametrize("tail", ["", "'>", ">", "\"", "<" + "a" * 50_000])
+def test_hostile_pages_take_linear_time(hostile, tail):
+    def seconds(n):
+        start = time.process_time()
+        html_content.Page(hostile * (n // len(hostile)) + tail)
+        return time.process_time() - start
+
+    assert seconds(400_000) < 0.5 + 4 * seconds(200_000)
+
+
+def test_what_stands_behind_the_last_mark():
+    text = lambda source: "".join(t for _, _, t, *_, out in html_content.Page(source).items if not out)
+    assert text("<p>a</p> b <c d") == "a b <c d" and text("a <!-- b > c") == "a " and text("a <script> b") == "a " and text("1 < 2") == "1 < 2"
+    assert text("x <i title='a > b'>y</i> <!-- z") == "x y " and text("no marks &amp; none") == "no marks & none" and text("") == ""
+
+
 def test_comments_as_articles_are_left_out():
     comments = "<section class='comments-area'><ol><li class='comment'><article id='div-comment-2' class='comment-body'><p>I say</p></article></li></ol></section>"
     page = html_content.Page(f"<main><article><p>Main text of the page, long enough.</p>{comments}</article></main>")
