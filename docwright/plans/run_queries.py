@@ -15,7 +15,10 @@ from docwright.plans.registry import query
 from docwright.plans.repair_queries import validate
 from docwright.plans.report_queries import found_sql
 from docwright.sources import json_files as J
+from docwright.sources.artifacts import shared_folder, stored
+from docwright.sources.snapshots import Snapshots
 from docwright.sources.tables import table
+from docwright.streaming.publishing import LEDGER
 
 SECTION_LIST = list(SECTIONS)
 
@@ -424,16 +427,30 @@ def remote_id(spark, sf):
     return results(spark, sf).select("course_id", "remote_id")
 
 
-@query("ledger_upsert", _p("""SELECT course_id, CASE WHEN n.course_id IS NULL THEN 'old' ELSE n.course_name END AS course_name, CASE WHEN n.course_id IS NULL THEN 'r0' ELSE remote_id END AS remote_id,
+_UPSERTED = _p("""SELECT course_id, CASE WHEN n.course_id IS NULL THEN 'old' ELSE n.course_name END AS course_name, CASE WHEN n.course_id IS NULL THEN 'r0' ELSE remote_id END AS remote_id,
   coalesce(n.checksum, l.checksum) AS checksum, CASE WHEN n.course_id IS NULL THEN 201 ELSE CAST(http AS INTEGER) END AS http_status
-  FROM led l FULL JOIN (SELECT * FROM kept WHERE outcome = 'published') n USING (course_id)"""))
+  FROM led l FULL JOIN (SELECT * FROM kept WHERE outcome = 'published') n USING (course_id)""")
+
+
+@query("ledger_upsert", _UPSERTED)
 def ledger_upsert(spark, sf):
     new = P.before_abort(results(spark, sf)).where(F.col("outcome") == "published")
     return P.upsert_ledger(ledger(spark, sf), new)
 
 
+@query("ledger_store", _UPSERTED)
+def ledger_store(spark, sf):
+    """The ledger stored, read and replaced by what a run publishes, and read back."""
+    versions = Snapshots(spark, shared_folder(spark), LEDGER)
+    versions.replace(ledger(spark, sf))
+    answers = stored(answered(P.changed(candidates(spark, sf), versions.read())).drop("body"), f"{shared_folder(spark)}/answers")
+    versions.replace(P.upsert_ledger(versions.read(), P.before_abort(answers).where(F.col("outcome") == "published")))
+    return versions.read()
+
+
 @query("publish_summary", _p("""SELECT (SELECT count(*) FROM cand) AS publishable, (SELECT count(*) FROM cand) - (SELECT count(*) FROM q) AS already_published, (SELECT count(*) FROM q) AS queued,
   count(*) FILTER (outcome = 'published') AS published, count(*) FILTER (outcome = 'rejected') AS rejected, count(*) FILTER (outcome = 'failed') AS failed,
   (SELECT count(*) FROM res WHERE outcome = 'abort') > 0 AS aborted FROM kept"""))
 def publish_summary(spark, sf):
-    return P.summary(answered(P.checked(candidates(spark, sf), ledger(spark, sf))))
+    rows = answered(P.checked(candidates(spark, sf), ledger(spark, sf))).select("ord", "queued", "outcome")
+    return P.summary(stored(rows, f"{shared_folder(spark)}/checked"))  # read twice: for the first abort, and for what stands before it
