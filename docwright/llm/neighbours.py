@@ -17,21 +17,22 @@ from pyspark.sql import functions as F
 
 from docwright.llm.common import stored
 
-PIVOTS, PREFIX = 512, 128
+#: A query meets about PREFIX ** 2 / PIVOTS postings a row: one.
+PIVOTS, PREFIX = 1024, 32
 BLOCK_ROWS, BLOCK_QUERIES = 16_384, 2_048
-#: The part of a block that is ranked again, and the rows that are in any case.
-PART, LEAST = 0.2, 1_000
+#: The part of a block that is ranked again, and how many rows at least for each neighbour wanted.
+PART, EACH = 0.2, 5
 
 
 def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
     """(vec_id, v): rows with an id whose vector is neither null, empty nor zero and holds no null or non-finite component.
 
-    Where lengths differ, the commonest one takes part (of equally common ones the longest)."""
+    Where lengths differ, the shorter vectors are filled up with zeros, so a product runs over the components that both have."""
     v = F.col(column).cast("array<double>")
     frame = vectors.select(F.col("vec_id").cast("long"), v.alias("v")).where(
         F.col("vec_id").isNotNull() & F.exists("v", lambda x: x != 0) & F.forall("v", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x)))
-    lengths = frame.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), F.desc("n")).first()
-    return frame.where(F.size("v") == (lengths["n"] if lengths else 0))
+    longest = frame.agg(F.max(F.size("v"))).first()[0] or 0
+    return frame.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(longest) - F.size("v"))))
 
 
 def pivots_of(frame: DataFrame, n: int = PIVOTS) -> np.ndarray:
@@ -64,7 +65,7 @@ def footrules(near: np.ndarray, asked: np.ndarray, n_pivots: int):
         yield np.bincount(np.concatenate([rows[s] for s in lists]), weights=saved, minlength=n)
 
 
-def _search(k: int, n_pivots: int, part: float, least: int):
+def _search(k: int, n_pivots: int, part: float):
     def search(key: tuple, table: pa.Table) -> pa.Table:
         is_query = table.column("query").to_numpy()
         read = lambda name, kind: np.array([np.frombuffer(b, dtype=kind) for b in table.column(name).to_pylist()])
@@ -72,8 +73,9 @@ def _search(k: int, n_pivots: int, part: float, least: int):
         own, x, base = ids[~is_query], vectors[~is_query], near[~is_query]
         out: list[tuple[int, int, float]] = []
         if len(own):
-            again = min(len(own), max(least, -int(-part * len(own) // 1)))
+            again = min(len(own), max(EACH * k, -int(-part * len(own) // 1)))
             for query, q, saved in zip(ids[is_query].tolist(), vectors[is_query], footrules(base, near[is_query], n_pivots), strict=True):
+                saved[own == query] = -1  # its own rows take no other's place
                 best = np.argpartition(-saved, again - 1)[:again] if again < len(own) else np.arange(len(own))
                 best = best[own[best] != query]
                 scores = x[best] @ q
@@ -84,7 +86,7 @@ def _search(k: int, n_pivots: int, part: float, least: int):
     return search
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, n_pivots: int = PIVOTS, prefix: int = PREFIX, part: float = PART, least: int = LEAST) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, n_pivots: int = PIVOTS, prefix: int = PREFIX, part: float = PART) -> DataFrame:
     """query_id, rank, vec_id, score: for each id divisible by `every`, the k vectors found of largest inner product.
 
     Rows that `usable` leaves out take no part. Ties go to the smaller vec_id. A query repeated under one id is asked once, with
@@ -101,6 +103,6 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, n_pivots: int = PI
     own = lambda to: F.pmod(F.xxhash64("vec_id"), F.lit(to)).cast("int")
     data = indexed.select(own(blocks).alias("i"), deal("j", asked), F.lit(False).alias("query"), "vec_id", "v", "near")
     questions = queries.select(deal("i", blocks), own(asked).alias("j"), F.lit(True).alias("query"), "vec_id", "v", "near")
-    found = data.unionByName(questions).groupBy("i", "j").applyInArrow(_search(k, len(pivots), part, least), "query_id long, vec_id long, score double")
+    found = data.unionByName(questions).groupBy("i", "j").applyInArrow(_search(k, len(pivots), part), "query_id long, vec_id long, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 
 _BASE = 0x9E3779B97F4A7C15 | 1
+#: Bytes that are widened to 64-bit values at a time; a longer word is a piece of its own.
+PIECE_BYTES = 1 << 16
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -74,10 +76,16 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each word, and the number of words before each text, with the end."""
+    """The hash of each word, and the number of words before each text, with the end. Bytes are hashed in pieces of whole words."""
     data, offsets = text_bytes(texts)
     starts, ends, counts = word_spans(data, offsets)
-    return span_hashes(_byte_values()[data], starts, ends), counts
+    hashes, at = np.empty(len(starts), dtype=np.uint64), 0
+    while at < len(starts):
+        first = starts[at]
+        to = max(at + 1, int(np.searchsorted(ends, first + PIECE_BYTES, "right")))
+        hashes[at:to] = span_hashes(_byte_values()[data[first:ends[to - 1]]], starts[at:to] - first, ends[at:to] - first)
+        at = to
+    return hashes, counts
 
 
 @functools.cache

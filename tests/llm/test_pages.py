@@ -140,22 +140,22 @@ def test_comments_as_articles_are_left_out():
     assert page.text(0, len(page.items)) == "Main text of the page, long enough."
 
 
-def test_neighbours_recall_and_scores(spark):
-    frame = spark.read.parquet(f"{SF}/embeddings.parquet")
+@pytest.mark.parametrize("folder", [SF, SF.replace("sf0.001", "sf0.1")])
+def test_neighbours_recall_and_scores(spark, folder):
+    frame = spark.read.parquet(f"{folder}/embeddings.parquet")
     rows = {r["vec_id"]: np.array(r["embedding"], dtype=float) for r in frame.collect()}
     ids, x = np.array(list(rows)), np.array(list(rows.values()))
-    for least in (1000, 1):
-        got = collections.defaultdict(list)
-        for r in neighbours.nearest(frame, least=least).collect():
-            got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
-        assert sorted(got) == [i for i in sorted(rows) if i % 20 == 0]
-        recall = []
-        for q, found in got.items():
-            scores = x @ rows[q]
-            best = [int(ids[i]) for i in np.lexsort((ids, -scores)) if ids[i] != q][:20]
-            assert [r for r, *_ in sorted(found)] == list(range(1, 21)) and all(np.isclose(s, x[ids == v][0] @ rows[q], rtol=1e-12) for _, v, s in found)
-            recall.append(len({v for _, v, _ in found} & set(best)) / 20)
-        assert np.mean(recall) >= (1.0 if least == 1000 else 0.9)
+    got = collections.defaultdict(list)
+    for r in neighbours.nearest(frame).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    assert sorted(got) == [i for i in sorted(rows) if i % 20 == 0]
+    recall = []
+    for q, found in got.items():
+        scores = x @ rows[q]
+        best = [int(ids[i]) for i in np.lexsort((ids, -scores)) if ids[i] != q][:20]
+        assert [r for r, *_ in sorted(found)] == list(range(1, 21)) and all(np.isclose(s, x[ids == v][0] @ rows[q], rtol=1e-12) for _, v, s in found)
+        recall.append(len({v for _, v, _ in found} & set(best)) / 20)
+    assert np.mean(recall) >= 0.9
 
 
 def test_neighbours_of_odd_vectors(spark):
@@ -164,5 +164,6 @@ def test_neighbours_of_odd_vectors(spark):
             (7, [None, 1.0], 1), (8, [1.0, 2.0, 3.0], 1), (None, [1.0, 1.0], 1), (40, [], 1), (0, [1.0, 0.0], 1)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int")
     got = [tuple(r) for r in neighbours.nearest(frame).orderBy("query_id", "rank").collect()]
-    assert got == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 20, 0.0), (20, 1, 1, 2.0), (20, 2, 2, 2.0), (20, 3, 0, 0.0), (20, 4, 0, 0.0)]
+    assert got == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 8, 1.0), (0, 4, 20, 0.0),
+                   (20, 1, 8, 4.0), (20, 2, 1, 2.0), (20, 3, 2, 2.0), (20, 4, 0, 0.0), (20, 5, 0, 0.0)]
     assert neighbours.nearest(frame.limit(0)).collect() == []
