@@ -27,6 +27,26 @@ def nesting_depth(json: Column) -> Column:
     return walked["top"]
 
 
+def rewrite_strings(json: Column, change) -> Column:
+    """A JSON text with `change` applied to every string value at any depth, whatever its shape.
+
+    Names of members and values that `change` leaves alone stay byte for byte, as does all between them. A null stays null; what is
+    no JSON text comes back with its quoted parts changed, so callers parse it first where that matters.
+    """
+    literals = F.regexp_extract_all(json, F.lit(_STRINGS), F.lit(0))
+    gaps = F.split(json, _STRINGS, -1)
+
+    def piece(literal: Column, gap: Column) -> Column:
+        value = F.get_json_object(F.concat(F.lit('{"v":'), literal, F.lit("}")), "$.v")
+        changed = change(value)
+        written = F.regexp_replace(F.to_json(F.struct(changed.alias("v"))), r'(?s)^\{"v":(.*)\}\z', "$1")
+        kept = gap.rlike(r"^[ \t\r\n]*:") | value.isNull() | changed.eqNullSafe(value)
+        return F.concat(F.when(kept, literal).otherwise(written), gap)
+
+    pieces = F.zip_with(literals, F.slice(gaps, F.lit(2), F.size(gaps)), piece)
+    return F.concat(F.element_at(gaps, 1), F.array_join(pieces, ""))
+
+
 def as_object(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,variant>")
 

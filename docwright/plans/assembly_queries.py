@@ -1,5 +1,8 @@
 """Queries over assembled documents, requests, responses and saved tables."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docwright.constants import DERIVED_PATHS, SECTIONS
@@ -15,8 +18,10 @@ from docwright.plans import catalogue_queries as C
 from docwright.plans import run_queries as X
 from docwright.plans import sql as Q
 from docwright.plans import views as V
+from docwright.plans.document_queries import RULE_QUERIES
 from docwright.plans.registry import query
 from docwright.sources import artifacts as W
+from docwright.sources.snapshots import Snapshots
 from docwright.sources.tables import table
 
 _Q = Q.with_
@@ -328,3 +333,33 @@ def billed_failures(spark, sf):
 def write_artifacts(spark, sf):
     path = W.write(X.used(spark, sf).select("course_id", "section", "attempt", "passed"), W.shared_folder(spark), "attempts", "2024-01-31", append=False)
     return spark.read.parquet(path)
+
+
+_SOME_RULES = {n: code for n, (code, _) in RULE_QUERIES.items() if code in ("duration_ordering", "salary_ordering", "college_ranking")}
+_MADE = " UNION ALL ".join(f"SELECT '{name}' AS artifact, course_id FROM {rows}" for name, rows in {
+    "attempts": "used", "sections": "oc WHERE status = 'accepted'", "documents": "dd", "runs": "(SELECT DISTINCT course_id FROM o)",
+    "findings": "(" + " UNION ALL ".join(f"({p})" for n in _SOME_RULES for p in Q.RULE_SQL[n][1]) + ")"}.items())
+
+
+@query("artifact_tables", Q.with_("dd", "").rstrip() + f""", {X._ATT}, made AS ({_MADE})
+  SELECT artifact, course_id, CASE WHEN CAST(substr(course_id, 5) AS BIGINT) % 3 = 0 THEN 2 ELSE 1 END AS run, count(*) AS n FROM made GROUP BY ALL""")
+def artifact_tables(spark, sf):
+    """The five tables of a run: saved for all courses, saved again for a third of them, and read back."""
+    docs = V.json_documents(spark, sf, ("course_name", "quick_facts", "snapshot", "colleges"))
+    findings = R.findings_table(R.validate(docs, rules=rules.subset(*_SOME_RULES.values()), structural=False), "course_id")
+    outcomes = X.reduced(spark, sf)
+    tables = {
+        "attempts": (X.used(spark, sf).select("course_id", "section", "attempt", "passed"), "course_id string, section string, attempt int, passed boolean"),
+        "sections": (outcomes.where("status = 'accepted'").select("course_id", "section", "citations"), "course_id string, section string, citations array<string>"),
+        "documents": (docs.select("course_id", "body"), "course_id string, body string"),
+        "runs": (outcomes.groupBy("course_id").agg(F.sum("attempts").alias("attempts")), "course_id string, attempts long"),
+        "findings": (findings.select("course_id", "code", "path", "severity"), "course_id string, code string, path string, severity string"),
+    }
+    root, again = W.shared_folder(spark), F.substr("course_id", F.lit(5)).cast("long") % 3 == 0
+    saved = []
+    for name, (frame, schema) in tables.items():
+        store = Snapshots(spark, f"{root}/{name}", f"{schema}, run int")
+        W.save(store, frame.withColumn("run", F.lit(1)), "course_id")
+        W.save(store, frame.where(again).withColumn("run", F.lit(2)), "course_id")
+        saved.append(store.read().groupBy("course_id", "run").agg(F.count(F.lit(1)).alias("n")).withColumn("artifact", F.lit(name)))
+    return reduce(DataFrame.unionByName, saved)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docwright.constants import CITATION_MARKER, HARD_PLACEHOLDERS, PROCESS_PHRASES, SOFT_PLACEHOLDERS
 from docwright.functions import text as T
 from docwright.functions.arrays import unnest
-from docwright.functions.variants import nesting_depth, string_leaves
+from docwright.functions.variants import nesting_depth, rewrite_strings, string_leaves
 from docwright.operators import report as P
 from docwright.operators import rules as R
 from docwright.operators.structure import examine_columns
@@ -68,14 +68,27 @@ def word_count(spark, sf):
     return text_view(spark, sf).select("doc_id", T.word_count(F.col("text")).alias("words"))
 
 
-@query("citation_marker_strip", _texts(
+_STRIPPED = (
     "SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, "
     r"'\s*\[[0-9]+(\s*[,;]\s*[0-9]+)*\]', '', 'g'), '[ \t]+([.,;:!?])', '\1', 'g'), '[ \t]{2,}', ' ', 'g'), "
-    f"'^{Q.WS}+|{Q.WS}+$', '', 'g')) AS stripped FROM t"))
+    f"'^{Q.WS}+|{Q.WS}+$', '', 'g')) AS stripped")
+
+
+@query("citation_marker_strip", _texts(_STRIPPED + " FROM t"))
 def citation_marker_strip(spark, sf):
     return text_view(spark, sf).select("doc_id", F.md5(T.strip_citation_markers(F.col("text"))).alias("stripped"))
 
 
+@query("citation_marker_strip_json", _texts(_STRIPPED + ", true AS rest_kept FROM t"))
+def citation_marker_strip_json(spark, sf):
+    """Texts deep inside documents that no schema knows; names, numbers and blanks around them stay as they are."""
+    text = F.to_json(F.struct(F.col("text").alias("v")))
+    rows = text_view(spark, sf).select("doc_id", F.concat(F.lit('[ {"see [1]":{"n":1.50,"deep":['), text, F.lit('],"x" : "a\\/b"} } ]')).alias("json"))
+    done = rows.withColumn("json", rewrite_strings(F.col("json"), T.strip_citation_markers))
+    rest = F.col("json").startswith('[ {"see [1]":{"n":1.50,"deep":[{') & F.col("json").endswith('}],"x" : "a\\/b"} } ]')
+    return done.select("doc_id", F.md5(F.get_json_object("json", "$[0]['see [1]'].deep[0].v")).alias("stripped"), rest.alias("rest_kept"))
+
+
 # -- text rules over every text, one pass --------------------------------------------
 
 _B, _E = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"

@@ -1,5 +1,8 @@
 """Queries over the attempt log, batch reports, the review queue and publishing."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docwright.constants import ABORT_STATUS, REJECT_STATUS, SECTIONS
@@ -108,9 +111,12 @@ def runs(spark, sf):
     return A.course_status(reduced(spark, sf), reports(spark, sf))
 
 
-@query("course_status", _a("") + f", {_RUNS} SELECT course_id, status, attempts FROM runs")
+@query("course_status", found_sql("").rstrip() + f""", {_ATT} SELECT o.course_id, CASE WHEN bool_and(status = 'accepted') AND bool_or(passes.course_id IS NOT NULL)
+  THEN 'validated' ELSE 'flagged' END AS status, CAST(sum(attempts) AS BIGINT) AS attempts FROM o
+  LEFT JOIN (SELECT course_id FROM dd WHERE k NOT IN (SELECT k FROM found WHERE severity = 'error')) passes ON passes.course_id = o.course_id GROUP BY o.course_id""")
 def course_status(spark, sf):
-    return runs(spark, sf)
+    """With the report of the whole document, by every rule and the structure; a course without a document is flagged."""
+    return A.course_status(reduced(spark, sf), R.report(validate(V.json_documents(spark, sf)), "course_id"))
 
 
 @query("unsourced_sections", _a("SELECT course_id, section FROM oc WHERE status = 'accepted' AND cites = 0"))
@@ -218,15 +224,25 @@ def _s(body):
     return f"WITH {_FILES} {body}"
 
 
+def on_disk(spark, sf, *kinds):
+    """The saved files written as files, one folder a course, and read back by glob: one frame for each kind of file."""
+    root = shared_folder(spark)
+    named = dict(zip(("run", "document", "review"), saved_files(spark, sf), strict=True))
+    course = F.regexp_extract("path", r"(crs_[0-9]+)", 1)
+    frames = [named[k].select(course.alias("course"), F.lit(k).alias("file"), "value") for k in kinds]
+    J.write(reduce(DataFrame.unionByName, frames), root)
+    return [J.read(spark, f"{root}/*/file={k}") for k in kinds]
+
+
 @query("run_document_scan", _s("SELECT course_id, status, canonical AS body FROM docs"))
 def run_document_scan(spark, sf):
-    run_files, documents, _ = saved_files(spark, sf)
-    return J.run_documents(run_files, documents).select("course_id", "status", F.to_json(F.parse_json("body")).alias("body"))
+    return J.run_documents(*on_disk(spark, sf, "run", "document")).select("course_id", "status", F.to_json(F.parse_json("body")).alias("body"))
 
 
-@query("review_scan", _s("SELECT course_id, status, '/review/' || course_id || '.json' AS path FROM f WHERE k % 10 = 7 AND k % 20 <> 17"))
+@query("review_scan", _s("SELECT course_id, status, '/course=' || course_id || '/file=review' AS path FROM f WHERE k % 10 = 7 AND k % 20 <> 17"))
 def review_scan(spark, sf):
-    return J.runs(saved_files(spark, sf)[2]).select("course_id", "status", "path")
+    found = J.runs(on_disk(spark, sf, "review")[0])
+    return found.select("course_id", "status", F.regexp_extract("path", r"(/course=[^/]*/file=review)/", 1).alias("path"))
 
 
 def queue(spark, sf):
@@ -280,11 +296,14 @@ def batch_tokens(spark, sf):
     return B.tokens(usage(spark, sf))
 
 
-@query("top_failures", _a("""SELECT code, count(*) AS failures, min(event_id) AS first_seen FROM used WHERE NOT passed GROUP BY code
-  ORDER BY failures DESC, first_seen, code LIMIT 15"""))
+@query("top_failures", found_sql("").rstrip() + f""", {_ATT} SELECT code, count(*) AS failures, min(seen) AS first_seen
+  FROM (SELECT code, event_id AS seen FROM used WHERE NOT passed UNION ALL SELECT code, 18 * k + 17 FROM found WHERE severity = 'error')
+  GROUP BY code ORDER BY failures DESC, first_seen, code LIMIT 15""")
 def top_failures(spark, sf):
-    failed = used(spark, sf).where(~F.col("passed"))
-    return B.top_codes(failed.select("code", F.lit("error").alias("severity"), F.col("event_id").alias("seen")))
+    """Codes of failed attempts and of the document reports, which come after a course's attempts; warnings do not count."""
+    failed = used(spark, sf).where(~F.col("passed")).select("code", F.lit("error").alias("severity"), F.col("event_id").alias("seen"))
+    found = R.findings_table(validate(V.json_documents(spark, sf)), "k").select("code", "severity", (18 * F.col("k") + 17).alias("seen"))
+    return B.top_codes(failed.unionByName(found))
 
 
 @query("section_counters", _a("""SELECT section, count(*) FILTER (attempts > 1) AS retried, count(*) FILTER (status <> 'accepted') AS flagged,

@@ -1,6 +1,6 @@
 """Saved JSON files: finding them, reading them, and pairing runs with documents."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -9,6 +9,16 @@ def read(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
+def write(files: DataFrame, root: str) -> None:
+    """Saves rows (course, file, value) as one small text file each: root/course=.../file=.../part-*; Spark commits them as a whole."""
+    files.select("course", "file", "value").write.partitionBy("course", "file").text(root)
+
+
+def folder(path: Column) -> Column:
+    """The folder of a course's files, without the level that names the file."""
+    return F.regexp_extract(path, r"^(.*?)(?:/file=[^/]*)?/[^/]*$", 1)
+
+
 def readable(files: DataFrame) -> DataFrame:
     """Files holding a JSON object; others are passed over."""
     parsed = files.withColumn("v", F.try_parse_json("value"))
@@ -21,11 +31,11 @@ def runs(files: DataFrame) -> DataFrame:
     return readable(files).select(
         F.nullif(text("course_id"), F.lit("")).alias("course_id"), text("course_name").alias("course_name"),
         text("status").alias("status"), "path", F.col("value").alias("payload"),
-        F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder"))
+        folder(F.col("path")).alias("folder"))
 
 
 def run_documents(run_files: DataFrame, document_files: DataFrame) -> DataFrame:
     """Runs with the document of the same folder."""
     documents = readable(document_files).select(
-        F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder"), F.col("value").alias("body"))
+        folder(F.col("path")).alias("folder"), F.col("value").alias("body"))
     return runs(run_files).join(documents, "folder")

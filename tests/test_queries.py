@@ -13,6 +13,7 @@ SOME = (
     "clean_cell", "text_hygiene_findings", "string_leaves", "curriculum_length", "fee_rows", "source_checks", "validation_report",
     "catalogue_dedupe", "stratified_sample", "duration_resolve", "domain_resolved", "request_plan", "section_merge",
     "response_rejects", "section_outcomes", "usage_merge", "review_items", "review_queue", "ledger_upsert", "publish_summary",
+    "citation_marker_strip_json", "run_document_scan", "review_scan", "course_status", "top_failures", "artifact_tables",
 )
 
 
