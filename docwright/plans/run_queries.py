@@ -1,8 +1,5 @@
 """Queries over the attempt log, batch reports, the review queue and publishing."""
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docwright.constants import ABORT_STATUS, REJECT_STATUS, SECTIONS
@@ -224,24 +221,22 @@ def _s(body):
     return f"WITH {_FILES} {body}"
 
 
-def on_disk(spark, sf, *kinds):
-    """The saved files written as files, one folder a course, and read back by glob: one frame for each kind of file."""
-    root = shared_folder(spark)
-    named = dict(zip(("run", "document", "review"), saved_files(spark, sf), strict=True))
-    course = F.regexp_extract("path", r"(crs_[0-9]+)", 1)
-    frames = [named[k].select(course.alias("course"), F.lit(k).alias("file"), "value") for k in kinds]
-    J.write(reduce(DataFrame.unionByName, frames), root)
-    return [J.read(spark, f"{root}/*/file={k}") for k in kinds]
-
-
 @query("run_document_scan", _s("SELECT course_id, status, canonical AS body FROM docs"))
 def run_document_scan(spark, sf):
-    return J.run_documents(*on_disk(spark, sf, "run", "document")).select("course_id", "status", F.to_json(F.parse_json("body")).alias("body"))
+    """Runs and documents from packed files."""
+    root, (run_files, documents, _) = shared_folder(spark), saved_files(spark, sf)
+    J.pack(run_files, f"{root}/runs")
+    J.pack(documents, f"{root}/documents")
+    found = J.run_documents(J.unpack(spark, f"{root}/runs"), J.unpack(spark, f"{root}/documents"))
+    return found.select("course_id", "status", F.to_json(F.parse_json("body")).alias("body"))
 
 
 @query("review_scan", _s("SELECT course_id, status, '/course=' || course_id || '/file=review' AS path FROM f WHERE k % 10 = 7 AND k % 20 <> 17"))
 def review_scan(spark, sf):
-    found = J.runs(on_disk(spark, sf, "review")[0])
+    """Review files written one by one, in a folder for each course, and found again by glob."""
+    root, reviews = shared_folder(spark), saved_files(spark, sf)[2]
+    J.write(reviews.select(F.regexp_extract("path", r"(crs_[0-9]+)", 1).alias("course"), F.lit("review").alias("file"), "value"), root)
+    found = J.runs(J.read(spark, f"{root}/*/file=review"))
     return found.select("course_id", "status", F.regexp_extract("path", r"(/course=[^/]*/file=review)/", 1).alias("path"))
 
 
