@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
+_own: dict[str, str] = {}  # the folder of a local session that names none; a running session cannot take the setting
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -19,8 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="docwright-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _own.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="docwright-"))
     return folder.rstrip("/")
 
 
