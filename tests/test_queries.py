@@ -46,5 +46,10 @@ def test_query_matches_sql(spark, duck, name):
     assert got == want
 
 
+def test_skipped_rules_match_sql(spark, duck):
+    got = sorted(tuple(r) for r in QUERIES["rule_skips"](spark, FOLDER).select("course_id", "rule").collect())
+    assert got and got == sorted(duck.execute(f"SELECT course_id, rule FROM ({ORACLES['rule_skips']})").fetchall())
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
