@@ -111,6 +111,8 @@ def lookup_misses(entries: DataFrame, requests: DataFrame) -> DataFrame:
 def stratified_sample(entries: DataFrame, count: int, seeds: DataFrame | None = None) -> DataFrame:
     """Seeds first, then one course per discipline and round, disciplines in order.
 
+    Each seed (course_id, seed_pos) is taken once, though entries may share an id; whatever shares it is not taken again.
+    A seed's discipline is its own where seeds have that column, else that of the first entry of its id.
     Only the first `count` courses of a discipline can be taken, so the ranking
     keeps no more than that per discipline before and after its shuffle.
     """
@@ -118,13 +120,16 @@ def stratified_sample(entries: DataFrame, count: int, seeds: DataFrame | None =
         chosen, rest = None, entries
     else:
         chosen = seeds.orderBy("seed_pos").limit(count)
-        rest = entries.join(chosen.select("course_id"), "course_id", "left_anti")
+        rest = entries.join(chosen.select("course_id").distinct(), "course_id", "left_anti")
     by_discipline = Window.partitionBy("discipline").orderBy("ord")
     ranked = rest.withColumn("round", F.row_number().over(by_discipline)).where(F.col("round") <= count)
     picked = ranked.select(
         F.lit(1).alias("after_seed"), F.lit(0).cast("bigint").alias("seed_pos"), "round", "discipline", "course_id")
     if chosen is not None:
-        taken = chosen.join(entries.select("course_id", "discipline"), "course_id").select(
+        if "discipline" not in chosen.columns:
+            first = entries.groupBy("course_id").agg(F.min_by("discipline", "ord").alias("discipline"))
+            chosen = chosen.join(first, "course_id")
+        taken = chosen.select(
             F.lit(0).alias("after_seed"), F.col("seed_pos").cast("bigint"), F.lit(0).alias("round"), "discipline", "course_id")
         picked = taken.unionByName(picked)
     return picked.orderBy("after_seed", "seed_pos", "round", "discipline").limit(count)

@@ -125,7 +125,7 @@ def name_lookup(spark, sf):
   ORDER BY a, sp, r, discipline LIMIT 40)"""))
 def stratified_sample(spark, sf):
     every = entries(spark, sf)
-    seeds = every.where(F.col("ord") % 500 == 3).select("course_id", F.col("ord").alias("seed_pos"))
+    seeds = every.where(F.col("ord") % 500 == 3).select("course_id", "discipline", F.col("ord").alias("seed_pos"))
     return C.stratified_sample(every, 40, seeds).select("course_id", "discipline", "round")
 
 

@@ -34,6 +34,14 @@ def test_stratified_sample_takes_rounds(spark):
     assert rows == ["c5", "c0", "c1", "c3", "c2"]
 
 
+def test_a_seed_is_taken_once_though_its_id_repeats(spark):
+    entries = spark.createDataFrame([(1, "x", "arts"), (2, "a1", "arts"), (3, "x", "law"), (4, "l1", "law")], "ord int, course_id string, discipline string")
+    own = spark.createDataFrame([("x", "law", 3)], "course_id string, discipline string, seed_pos int")
+    take = lambda seeds: [(r["course_id"], r["discipline"]) for r in C.stratified_sample(entries, 3, seeds).collect()]
+    assert take(own) == [("x", "law"), ("a1", "arts"), ("l1", "law")]
+    assert take(own.drop("discipline")) == [("x", "arts"), ("a1", "arts"), ("l1", "law")]
+
+
 def test_cap_keeps_twenty(spark):
     rules = [("art", "profile", i, f"a{i}.in") for i in range(16)] + [("default", "_all", i, f"d{i}.in") for i in range(8)]
     frame = spark.createDataFrame(rules, "discipline string, section string, pos bigint, domain string")
