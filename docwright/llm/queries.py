@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docwright.llm import alignment, decontamination, html_content, infilling, language_model
 from docwright.llm import near_duplicates as near
 from docwright.llm import neighbours, packing, pii, quality, sharding, simhash, warc
-from docwright.llm.common import ship
+from docwright.llm.common import ship, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,7 +98,11 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(table(spark, sf_dir, "documents"))
+    sharded = sharding.shard(table(spark, sf_dir, "documents"))
+    text = text_or_empty("text")  # both digests from the texts as they stand in the shards
+    return sharded.select(
+        F.col("doc_id").cast("long"), (F.octet_length(text) + sharding.ROW_BYTES).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        "law", "shard", "slot", "grown_shard")
 
 
 @query

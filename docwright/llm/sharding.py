@@ -3,14 +3,16 @@
 Rows are ordered by the hash of the text, then that of the id, then that of the row's place, so equal texts stand together. For each splitter Spark
 counts, exactly and over all partitions, the bytes below a set of probes; the interval that holds the target is narrowed to the
 keys that lie in it and probed again, until the bytes below a probe meet the tolerance. Probes fall between groups of equal
-texts as long as such a place will do; only a group larger than the tolerance is cut. Then rows are exchanged once.
+texts as long as such a place will do; only a group larger than the tolerance is cut. Then the documents are exchanged once.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -19,20 +21,21 @@ from docwright.llm.common import stored, text_or_empty
 SHARDS, ROW_BYTES = 24, 8
 TOLERANCE, PROBES = 0.005, 31
 BUCKET_BYTES = 128 << 20
+ADDED = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 _HALF = 1 << 64
 _LOW = (1 << 32) - 1
 
 
 def sized(documents: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32 and the two parts of the key of each document.
+    """The documents with all their columns, and size, text_crc32 and the two parts of the key (_k1, _k2) of each.
 
     The second part holds 32 bits of the id's hash, then 32 bits of the hash of the row's place: rows that agree in text and id
     have keys of their own, and which of them is where makes no difference. The keys are stored before they are used."""
     text = text_or_empty("text")
     place = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit(_LOW))
-    return documents.select(
-        F.col("doc_id").cast("long"), (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
-        F.xxhash64(text).alias("k1"), F.xxhash64("doc_id").bitwiseAND(F.lit(~_LOW)).bitwiseOR(place).alias("k2"))
+    return documents.withColumns({
+        "size": (F.octet_length(text) + ROW_BYTES).cast("long"), "text_crc32": F.crc32(text),
+        "_k1": F.xxhash64(text), "_k2": F.xxhash64("doc_id").bitwiseAND(F.lit(~_LOW)).bitwiseOR(place)})
 
 
 def _unsigned(column: pa.Array) -> np.ndarray:
@@ -58,7 +61,7 @@ def _histogram(probes: list[int]):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            k1, k2, size = _unsigned(batch.column("k1")), _unsigned(batch.column("k2")), batch.column("size").to_numpy()
+            k1, k2, size = _unsigned(batch.column("_k1")), _unsigned(batch.column("_k2")), batch.column("size").to_numpy()
             place = below(probes, k1, k2)
             order = np.lexsort((k2, k1, place))
             borders = np.flatnonzero(np.diff(place[order], prepend=-1))
@@ -115,30 +118,29 @@ def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE) -> lis
     return [done[s] for s in sorted(done)]
 
 
-def _assigned(splits: list[int]):
-    def assign(batches):
-        for batch in batches:
-            if batch.num_rows:
-                shard = below(splits, _unsigned(batch.column("k1")), _unsigned(batch.column("k2")))
-                yield batch.append_column("shard", pa.array(shard.astype(np.int32)))
-    return assign
+def _shard_of(splits: list[int]) -> Column:
+    """How many of the splitters are not above a row's key."""
+    signed = lambda part: part - (_HALF >> 1)  # the order of unsigned values kept in signed ones
+    at = [(F.lit(signed(p // _HALF)), F.lit(signed(p % _HALF))) for p in splits]
+    passed = [F.when((F.col("_k1") > high) | ((F.col("_k1") == high) & (F.col("_k2") >= low)), 1).otherwise(0) for high, low in at]
+    return reduce(Column.__add__, passed, F.lit(0)).cast("int")
 
 
 def shard(documents: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard: all documents in shards of nearly equal bytes.
+    """The documents, whole and with all their columns, in shards of nearly equal bytes; ADDED names the columns that are added.
 
     A size is the UTF-8 bytes of the text (null: none) plus 8. Slots number a shard's rows from 0 without gaps. Rows of one text
     stay in one shard unless that would break the tolerance; then they are cut apart, repeated rows too.
-    Null ids are ids like others. An empty table gives no rows. Extra columns are not read.
+    Null ids are ids like others. An empty table gives no rows. Columns of the documents that have one of these names are replaced.
     """
-    keys = stored(sized(documents), "shard-keys")
-    placed = keys.mapInArrow(_assigned(splitters(keys, shards, tolerance)), keys.withColumn("shard", F.lit(0)).schema)
+    rows = stored(sized(documents), "shard-rows")
+    keys = rows.select("_k1", "_k2", "size")
     total = keys.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     buckets = max(1, -(-int(total) // (shards * bucket_bytes)))  # of a shard; each is one group of the exchange
-    placed = placed.withColumn("_bucket", F.pmod(F.xxhash64("k1", "k2"), F.lit(buckets)))
-    counts = placed.groupBy("shard", "_bucket").agg(F.count(F.lit(1)).alias("n"))
+    place = {"shard": _shard_of(splitters(keys, shards, tolerance)), "_bucket": F.pmod(F.xxhash64("_k1", "_k2"), F.lit(buckets))}
+    counts = keys.withColumns(place).groupBy("shard", "_bucket").agg(F.count(F.lit(1)).alias("n"))
     before = counts.select("shard", "_bucket", (F.sum("n").over(W.partitionBy("shard").orderBy("_bucket")) - F.col("n")).alias("_before"))
-    numbered = placed.withColumn("_row", F.row_number().over(W.partitionBy("shard", "_bucket").orderBy("k1", "k2")) - 1)
-    return numbered.join(before, ["shard", "_bucket"]).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("_row") + F.col("_before")).cast("long").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"))
+    numbered = rows.withColumns(place).withColumn("_row", F.row_number().over(W.partitionBy("shard", "_bucket").orderBy("_k1", "_k2")) - 1)
+    added = {"law": F.lit("bytes"), "slot": (F.col("_row") + F.col("_before")).cast("long"), "grown_shard": F.lit(None).cast("int")}
+    return numbered.join(F.broadcast(before), ["shard", "_bucket"]).withColumns(added).select(
+        *[c for c in documents.columns if c not in ADDED], *ADDED)

@@ -304,6 +304,13 @@ def test_shards_against_all_rows(documents, texts, odd, none):
     assert len({(r["shard"], r["slot"]) for r in again}) == len(again)
 
 
+def test_shards_hold_the_documents_themselves(spark):
+    rows = [(n, f"text {n % 50} " * 9 if n % 7 else None, f"place {n}") for n in range(300)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, origin string"), 4).collect()
+    assert sorted(((r["doc_id"], r["text"], r["origin"]) for r in got), key=lambda r: r[0]) == rows
+    assert all(r["size"] == len((r["text"] or "").encode()) + 8 for r in got) and {r["shard"] for r in got} == {0, 1, 2, 3}
+
+
 def test_a_hot_text_is_cut_between_shards(spark):
     rows = [(n, "the same text in a third of all rows " * 3) for n in range(400)] + [(1000 + n, f"text {n} " * 12) for n in range(800)]
     got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 6).collect()
