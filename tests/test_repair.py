@@ -44,6 +44,19 @@ def test_rounds_of_repair(spark):
     assert json.loads(done.courses.where("course_id = 'mended'").first()["body"])["colleges"] == fine["colleges"]
 
 
+def test_outcomes_need_no_last_report(spark):
+    calls = []
+
+    def validate(frame):
+        calls.append(1)
+        found = F.array(F.struct(*[F.lit(x).alias(n) for n, x in (("code", "c"), ("path", "colleges"), ("message", "m"), ("severity", "error"), ("source", "rule"))]))
+        return frame.withColumn("findings", F.when(F.length("body") > 0, F.raise_error(F.lit("read"))).otherwise(found) if len(calls) == 3 else found)
+
+    log = spark.createDataFrame([("a", "market", r, 1, True, False, [], "{}") for r in (1, 2)], LOG)
+    done = repair.repair(spark.createDataFrame([("a", "{}")], "course_id string, body string"), log, validate)
+    assert len(calls) == 3 and done.outcomes.count() == 2 and done.made.count() == 2
+
+
 def test_a_section_sees_only_what_came_before(spark):
     base = spark.createDataFrame([("a", '{"course_name":"A","region":"India","currency":"INR","category":"x"}'), ("b", '{"course_name":"B"}')], "course_id string, fields string")
     given = spark.createDataFrame([
