@@ -1,11 +1,15 @@
 """Versioned tables and publishing from a stream, batches replayed at each point where a run can be lost."""
 
+import contextlib
+import io
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from docwright.operators import publish as P
+from docwright.plans import QUERIES
+from docwright.sources import json_files as J
 from docwright.sources.snapshots import Snapshots
 from docwright.streaming import publishing as S
 
@@ -86,3 +90,21 @@ def test_a_stream_started_again_publishes_nothing_twice(spark, tmp_path):
     assert sorted(c for c, _ in remote.sent) == ["c1", "c2", "c2", "c3"]
     stream("b")  # all rows once more, from a new checkpoint: the last of c2 and the others stand in the ledger
     assert len(remote.sent) == 4 and S.ledger_in(spark, folder).read().count() == 3
+
+
+def test_files_are_parsed_once_whatever_reads_them(spark):
+    rows = [("/s/a/run.json", '{"course_id":"a","course_name":"A","status":"validated"}'), ("/s/b/run.json", '{"course_id":"","status":"validated"}'),
+            ("/s/c/run.json", "[1]"), ("/s/d/run.json", "{"), ("/s/e/run.json", None)]
+    files = spark.createDataFrame(rows, "path string, value string")
+    found = J.runs(files).where((F.col("status") == "validated") & (F.length("course_id") > 0))
+    assert [r["course_id"] for r in found.collect()] == ["a"] and J.runs(files).count() == 2
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        found.explain()
+    assert plan.getvalue().lower().count("parse_json") + plan.getvalue().count("parseJson") <= 1
+    pairs = J.run_documents(files, files.where("path like '%/a/%' or path like '%/b/%'"))
+    assert P.publishable_pairs(pairs).collect() == [("a", "A", rows[0][1])]
+
+
+def test_cut_results_are_made_once(spark):
+    for name in ("abort_cut", "ledger_upsert"):
+        assert any("/results/" in path for path in QUERIES[name](spark, "/root/testdata/sf0.001").inputFiles())
