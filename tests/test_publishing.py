@@ -108,3 +108,7 @@ def test_files_are_parsed_once_whatever_reads_them(spark):
 def test_cut_results_are_made_once(spark):
     for name in ("abort_cut", "ledger_upsert"):
         assert any("/results/" in path for path in QUERIES[name](spark, "/root/testdata/sf0.001").inputFiles())
+
+
+def test_review_files_are_packed(spark):
+    assert 0 < len(QUERIES["review_scan"](spark, "/root/testdata/sf0.001").inputFiles()) <= 8
