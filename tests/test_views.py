@@ -25,3 +25,13 @@ def test_large_tables_are_joined_by_exchange_with_equal_rows(spark, monkeypatch)
     sent = rows()
     monkeypatch.setattr(V, "SENT_BYTES", 0)
     assert V.sent(spark.range(3)) is None and rows() == sent and len(sent) > 1000
+
+
+def test_partitions_follow_the_lines(spark, monkeypatch):
+    rows = lambda: V.document_base(spark, FOLDER, ("course_name",))
+    few = rows().count()
+    monkeypatch.setattr(V, "LINES_A_TASK", 50)
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        rows().explain()
+    n = -(-V.text_count(spark, FOLDER, "lineitem") // 50)
+    assert n > 100 and f", {n})" in plan.getvalue() and rows().count() == few > 1000
