@@ -1,6 +1,8 @@
 import contextlib
 import io
 
+from pyspark.sql import functions as F
+
 from docwright.plans import views as V
 
 FOLDER = "/root/testdata/sf0.001"
@@ -35,3 +37,26 @@ def test_partitions_follow_the_lines(spark, monkeypatch):
         rows().explain()
     n = -(-V.text_count(spark, FOLDER, "lineitem") // 50)
     assert n > 100 and f", {n})" in plan.getvalue() and rows().count() == few > 1000
+
+
+def test_some_properties_are_those_of_the_whole_document(spark):
+    taken = ("overview", "category", "quick_facts", "careers"), ("curriculum", "subcategory", "snapshot"), ("recruiters", "colleges"), ("fees", "comparison", "slug")
+    hashed = lambda names: [F.xxhash64(F.to_json(F.struct(f"doc.{p}"))).alias(p) for p in names]
+    want = V.typed_documents(spark, FOLDER).select("k", *hashed(V.FIELDS_OF.keys() - {"course_name", "seo"})).collect()
+    for names in taken:
+        got = V.typed_documents(spark, FOLDER, names).select("k", *hashed(names)).collect()
+        assert sorted(map(tuple, got)) == sorted((r["k"], *[r[p] for p in names]) for r in want)
+
+
+def test_packed_lines_come_back_as_they_were(spark):
+    names = "k long, slot long, sk long, pk long, fee long, lo long, hi long, flag string, st string"
+    rows = [
+        (1, 3, 7, 9, 100, 90, 110, "R", "F"), (2 ** 40, 15, 2 ** 31 - 1, 2 ** 32 - 1, 2 ** 29 - 1, 2 ** 29 - 2 ** 17, 2 ** 29 + 5, "\x00", "~"),
+        (2, 0, 0, 0, 0, 0, 0, " ", "A"), (3, 1, -1, 5, 5, 4, 6, "R", "F"), (4, 1, 2, 2 ** 32, 5, 4, 6, "R", "F"), (5, 1, 2, 3, 5, 6, 4, "R", "F"),
+        (6, 1, 2, 3, None, None, None, None, "F"), (7, 1, 2, 3, 5, 4, 6, "RR", ""), (8, 1, 2, 3, 5, 4, 6, "é", "F"), (None, None, None, None, None, None, None, None, None)]
+    lines = spark.createDataFrame(rows, names)
+    travelling = V.packed(lines)
+    assert V.unpacked(travelling).select(lines.columns).collect() == lines.collect()
+    assert [r["wide"] is None for r in travelling.collect()] == [True] * 3 + [False] * 7
+    for some in (("k", "slot", "sk", "pk"), ("k", "slot", "sk", "pk", "lo", "hi"), ("k", "slot", "sk", "pk", "flag", "st", "fee")):
+        assert V.unpacked(V.packed(lines.select(*some))).select(*some).collect() == lines.select(*some).collect()
