@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docwright.operators import report as P
+from docwright.operators.structure import KEYWORDS, examine_columns, keyword_findings, properties_with
 from docwright.schema import DOCUMENT
 from tests.documents import good, judge, put
 
@@ -135,3 +136,25 @@ def test_gates_walk_dotted_paths(spark):
     frame = spark.createDataFrame([(1, json.dumps(whole)), (2, json.dumps(bare))], "n int, body string")
     got = {r["n"]: r["skipped_rules"] for r in validate(frame, rules=(rule,), structural=False).select("n", "skipped_rules").collect()}
     assert got == {1: [], 2: ["salary_ordering"]}
+
+
+def test_findings_of_some_keywords_are_those_of_the_whole_check(spark):
+    bodies = [json.dumps(put(good(), path, value)) for path, value, _ in MUTATIONS + [
+        ("hero.badge", 2, ""), ("colleges.items[1].rank", "many words", ""), ("careers[0].title", "x", ""), ("suitability.tags[1]", "Other", ""), ("skills", {}, ""),
+        ("fees", ..., ""), ("faqs[0].answer", ..., ""), ("curriculum.years[0].subjects", 7, ""), ("seo", None, ""), ("verification.sources[0].url", "http://a", ""),
+        ("recruiters[2].roles[0]", 5, ""), ("course_level", "None", ""), ("colleges.items[3]", "no object", ""), ("snapshot.specialisations", [], "")]] + ["[]", "{}", "x"]
+    rows = spark.createDataFrame(list(enumerate(bodies)), "id int, body string").withColumn("v", F.try_parse_json("body"))
+    whole = rows.select("id", examine_columns("body", "v")["findings"].alias("f")).collect()
+    # A number where a text belongs has the wrong type and nothing else; bounds are for numbers, lengths for texts.
+    at = lambda i: {f["code"] for f in whole[len(MUTATIONS) + i]["f"]}
+    assert at(0) == at(1) == {"type"} and all(properties_with(c) for c in KEYWORDS)
+    groups = [("required",), ("enum",), ("minLength", "maxLength"), ("pattern",), ("minimum", "maximum"), ("minItems", "maxItems"), ("uniqueItems",), ("type",), ("additionalProperties",)]
+    got = rows.select("id", *[keyword_findings("body", "v", *g).alias(g[0]) for g in groups]).collect()
+    for all_found, some in zip(whole, got):
+        for group in groups:
+            assert [f for f in all_found["f"] if f["code"] in group] == some[group[0]]
+    # Bodies that hold only the properties asked for give the same, but for the root itself.
+    for group in groups[1:7]:
+        kept = spark.createDataFrame([(i, json.dumps({p: v for p, v in json.loads(b).items() if p in properties_with(*group)})) for i, b in enumerate(bodies[:-3])], "id int, body string")
+        found = kept.withColumn("v", F.try_parse_json("body")).select("id", keyword_findings("body", "v", *group).alias("f")).collect()
+        assert [r["f"] for r in found] == [r[group[0]] for r in got[:-3]]
