@@ -158,3 +158,33 @@ def test_findings_of_some_keywords_are_those_of_the_whole_check(spark):
         kept = spark.createDataFrame([(i, json.dumps({p: v for p, v in json.loads(b).items() if p in properties_with(*group)})) for i, b in enumerate(bodies[:-3])], "id int, body string")
         found = kept.withColumn("v", F.try_parse_json("body")).select("id", keyword_findings("body", "v", *group).alias("f")).collect()
         assert [r["f"] for r in found] == [r[group[0]] for r in got[:-3]]
+
+
+def test_text_rules_look_at_suspect_properties_alone_and_miss_none(spark):
+    from docwright.functions.variants import nesting_depth, string_leaves
+    from docwright.operators import rules as R
+
+    said = ["", " ", "\n\t", " ", "xKſ", "Lorem IPSUM", "to do TODO", "tbd", "a {{b", "placeholder", "xxxx", "www.EXAMPLE.com", "[Insert", "your text here", "Demo", "sample data",
+            "fıctİonal", "as an Aİ", "search reſult", "the snıppets", "K \"as an ai\\", "where sources showed", "where the source gave", "not consistently listed", "could not be found",
+            "based on the search", "according to the results", "data were not found", "from the sources", "in the reſults", "[1, 2]", "[٣]", "fine", "your own", "\\n todo", "provided ſource"]
+    bodies = [json.dumps(put(good(), where, text), ensure_ascii=bool(n % 2)) for n, text in enumerate(said) for where in ("faqs[1].answer", "extra")]
+    bodies += [json.dumps(good()), '["todo"]', '"tbd"', "{}", "x", '{"region": "Plain", "faqs": [{"answer": "see TODO"}]}']
+    rows = spark.createDataFrame(list(enumerate(bodies)), "id int, body string").withColumn("v", F.try_parse_json("body"))
+    found = lambda leaves: F.array_sort(R.rule_findings(None, R.Context(leaves=leaves), tuple(r for r in R.ALL_RULES if not r.requires)))
+    got = rows.select(found(P.suspect_leaves(F.col("v"))).alias("some"), found(string_leaves(F.col("v"), nesting_depth(F.col("body")))).alias("whole"), P.suspect_leaves(F.col("v")).alias("seen")).collect()
+    assert [r["some"] for r in got] == [r["whole"] for r in got] and sum(bool(r["some"]) for r in got) > 55
+    assert [leaf["path"] for leaf in got[-1]["seen"]] == ["faqs[0].answer"]
+
+
+def test_patterns_of_values_without_findings_match_no_others():
+    import re
+
+    from docwright.operators.structure import fine
+
+    text = lambda value: json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    for name, spec in DOCUMENT.members.items():
+        pattern = re.compile(re.sub(r"\\Q(.*?)\\E", lambda m: re.escape(m[1]), fine(spec, at=name)).replace("(?<u", "(?P<u").replace(r"\k<u0>", "(?P=u0)"))
+        assert pattern.fullmatch(text(good()[name])), name
+        broken = [put(good(), path, value) for path, value in STRUCTURAL if path.split(".")[0].split("[")[0] == name]
+        for body in broken:
+            assert name not in body or not pattern.fullmatch(text(body[name])) or not [f for f in judge(DOCUMENT, body) if f[1].startswith(name)], (name, body[name])
