@@ -86,7 +86,8 @@ def _parts(distinct: DataFrame, radius: int) -> DataFrame:
         F.lit((1 << max(kept) + 1) - 1).alias("below")) for t, kept in enumerate(tables)]
     posted = distinct.select("high", "low", F.explode(F.array(*rows)).alias("p")).select("high", "low", "p.*")
     sizes = posted.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("table", "key", F.ceil(F.col("n") / PART).alias("parts"))
-    dealt = posted.join(sizes, ["table", "key"]).withColumn("own", F.pmod(F.xxhash64("low", "high"), F.col("parts")))
+    # Spark sizes both sides without their tables and would send what is far larger: they are merged.
+    dealt = posted.hint("merge").join(sizes.hint("merge"), ["table", "key"]).withColumn("own", F.pmod(F.xxhash64("low", "high"), F.col("parts")))
     held = stored(dealt.groupBy("table", "key", "own").agg(
         F.first("chosen").alias("chosen"), F.first("below").alias("below"), F.first("parts").alias("parts"), F.collect_list(F.struct("high", "low")).alias("xs")), "simhash-buckets")
     alone = held.select("table", "chosen", "below", "xs", F.lit(None).cast("array<struct<high:bigint,low:bigint>>").alias("ys"))

@@ -10,6 +10,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tests.llm.test_documents import ODD, ROWS
 
 from docwright.llm import alignment, infilling, simhash
@@ -112,6 +113,16 @@ def test_block_tables_find_every_pair_within_the_radius(spark, radius, monkeypat
     assert counts == dict(collections.Counter(x for x, _ in want))
 
 
+def test_no_table_of_fingerprints_is_sent(spark, monkeypatch, tmp_path):
+    """The posted rows are many times what Spark takes them for, and so are the sizes of their buckets."""
+    kept = {}
+    monkeypatch.setattr(simhash, "stored", lambda frame, name: kept.setdefault(name, frame))
+    spark.range(100).select(F.xxhash64("id").alias("high"), F.hash("id").cast("long").alias("low")).write.parquet(f"{tmp_path}/prints")
+    simhash.link_counts(spark.read.parquet(f"{tmp_path}/prints"))
+    plan = kept["simhash-buckets"]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_fingerprints_of_odd_rows(spark, odd, none):
     rows = simhash.edited_pairs(odd).collect()
     assert len(rows) == len(ROWS)
