@@ -188,3 +188,34 @@ def test_patterns_of_values_without_findings_match_no_others():
         broken = [put(good(), path, value) for path, value in STRUCTURAL if path.split(".")[0].split("[")[0] == name]
         for body in broken:
             assert name not in body or not pattern.fullmatch(text(body[name])) or not [f for f in judge(DOCUMENT, body) if f[1].startswith(name)], (name, body[name])
+
+
+def test_lists_of_a_wrong_length_alone_are_not_read(spark):
+    """A property that only has too few or too many entries, or is written in another order, gives what it gives when it is read; texts that hold JSON are no objects."""
+    g, by_name = good(), lambda body: json.dumps(body, sort_keys=True)
+    more = lambda path, n: put(g, path, [*(e for e in _at(g, path)), *([_at(g, path)[0]] * n)])
+    bodies = [more("careers", 2), more("careers", 40), put(g, "careers", g["careers"][:2]), put(g, "careers", []), more("colleges.items", 1), more("suitability.good_fit.points", 3),
+              more("comparison", 1), put(more("fees.rows", 6), "fees.rows[7].min", -1), put(g, "suitability.tags", ["one"] * 3), put(g, "recruiters[0].roles", ["abc"] * 2),
+              put(g, "seo", json.dumps(g["seo"])), put(g, "careers", json.dumps(g["careers"])), put(g, "careers", ["text"] * 7), put(g, "careers[1]", json.dumps(g["careers"][1])),
+              put(g, "region", {"a": 1}), put(g, "region", 1234), put(g, "region", "x\"y"), put(g, "hero.fit.indicators", [1, 2, 3, 4])]
+    rows = [(n, text(body)) for n, (body, text) in enumerate((b, t) for b in bodies for t in (json.dumps, by_name, lambda b: json.dumps(b, indent=1)))]
+    frame = spark.createDataFrame(rows, "id int, body string").withColumn("v", F.try_parse_json("body"))
+    got = frame.select("id", examine_columns("body", "v")["findings"].alias("f")).collect()
+    for row in got:
+        assert Counter((f["code"], f["path"]) for f in row["f"]) == Counter(judge(DOCUMENT, bodies[row["id"] // 3])), row["id"]
+    assert {f["message"] for f in got[0]["f"]} == {"list has 8 entries, at most 6 allowed"}
+
+
+def test_wrong_lengths_and_texts_are_judged_by_their_json_text_alone():
+    from docwright.operators.structure import _Compiler
+
+    compiler = _Compiler("body", "v", None, None, frozenset(), KEYWORDS)
+    compiler.compile_root(DOCUMENT)
+    assert len(compiler.levels) == len(DOCUMENT.members) and sum("1, 2" in level for level in compiler.levels) == 15
+    assert all("fine." not in part and "level." in part for part in compiler.odd)
+
+
+def _at(body, path):
+    for step in path.split("."):
+        body = body[step]
+    return body
